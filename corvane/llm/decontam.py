@@ -1 +1,225 @@
-"""To come."""
+"""Benchmark leaks: rare n-gram seeds, then Smith-Waterman alignment by words.
+
+Words are runs of letters and digits, A-Z folded. The seeds of an item are its three-word runs; how many documents hold
+each is counted over all documents. An item keeps the seeds in at most RARE of the documents, and the rarer half of its seeds in
+any case, so an item that is copied all over the corpus is still found. Where a document has seeds of an item at
+places that fit together, that region is aligned with the whole item: a match is 1, a mismatch or gap -0.5. A document
+leaks an item if the best local score is at least THRESHOLD of the item's words.
+
+The benchmark is held against all documents, in blocks of at most BLOCK_BYTES of text that are sent to the executors, so a
+benchmark of any size can be used. Whether a document leaks depends on it alone: no document moves.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corvane.llm.exchange import member
+from corvane.llm.words import PLAIN, buffer, runs, steps, words
+from corvane.session import ship
+
+GRAM, RARE, THRESHOLD, PENALTY, BLOCK_BYTES = 3, 0.001, 0.5, 0.5, 8 << 20
+
+
+class Items:
+    """A block of the benchmark: each item's words, and its seeds as sorted hashes with the items and places they are from."""
+
+    def __init__(self, ids: list, texts: list[str]):
+        data, offs = buffer(pa.array(texts, pa.large_string()))
+        w = words(data, offs, True, PLAIN)
+        parts = [w.hash[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+        self.ids = [i for i, p in zip(ids, parts, strict=True) if len(p)]
+        self.words = [p for p in parts if len(p)]
+        grams = [runs(p, min(GRAM, len(p))) for p in self.words]
+        flat = np.concatenate([*grams, np.zeros(0, np.uint64)])
+        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        self.place = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, np.int64)]).astype(np.int64)
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.item, self.place = flat[order], self.item[order], self.place[order]
+        self.lengths = sorted({min(GRAM, len(p)) for p in self.words})
+        self.seeds = np.unique(self.flat)
+
+    def keep_rare(self, counts: np.ndarray, docs: int) -> None:
+        """counts: documents with each of seeds. Common seeds go, but for the rarer half of each item's."""
+        n = counts[np.searchsorted(self.seeds, self.flat)]
+        order = np.lexsort((self.place, n, self.item))
+        rank = np.empty(len(n), np.int64)
+        first = np.searchsorted(self.item[order], np.arange(len(self.words)))
+        rank[order] = np.arange(len(n)) - first[self.item[order]]
+        own = np.bincount(self.item, minlength=len(self.words))[self.item]
+        keep = (n <= RARE * docs) | (rank < (own + 1) // 2)
+        self.flat, self.item, self.place = self.flat[keep], self.item[keep], self.place[keep]
+        self.seeds = np.unique(self.flat)
+
+
+def found_seeds(items: Items, w) -> tuple[np.ndarray, np.ndarray]:
+    """Places of seeds among a batch's words (never across texts) and their hashes."""
+    at, value = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    owner = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    for k in items.lengths:
+        h = runs(w.hash, k)
+        hit = np.flatnonzero(member(items.seeds, h))
+        hit = hit[owner[hit] == owner[hit + k - 1]] if len(hit) else hit
+        at.append(hit)
+        value.append(h[hit])
+    return np.concatenate(at), np.concatenate(value)
+
+
+def seed_counts(items: Items):
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, docs = np.zeros(len(items.seeds), np.int64), 0
+        for t in tables:
+            docs += t.num_rows
+            data, offs = buffer(t["text"])
+            for i, j in steps(offs):
+                w = words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True, PLAIN)
+                at, value = found_seeds(items, w)
+                doc = np.searchsorted(w.first, at, "right") - 1
+                seed = np.searchsorted(items.seeds, value)
+                pair = np.unique(doc * max(1, len(items.seeds)) + seed)
+                total += np.bincount(pair % max(1, len(items.seeds)), minlength=len(items.seeds))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], docs))], ["seed", "n"])
+
+    return run
+
+
+def align(item: np.ndarray, part: np.ndarray) -> tuple[float, int, int]:
+    """Best local alignment of all of item in part: score, where it starts in part and where it ends."""
+    n = len(part)
+    slope = PENALTY * np.arange(n + 1)
+    score, start = np.zeros(n + 1), np.arange(n + 1)
+    best = (0.0, 0, 0)
+    for x in item:
+        step = score[:-1] + np.where(part == x, 1.0, -PENALTY)
+        up = score[1:] - PENALTY
+        new, begin = np.zeros(n + 1), np.arange(n + 1)
+        new[1:] = np.maximum(np.maximum(step, up), 0)
+        begin[1:] = np.where(new[1:] <= 0, begin[1:], np.where(step >= up, start[:-1], start[1:]))
+        lead = np.maximum.accumulate(new + slope)  # gaps in part: the best place further left, less the way
+        left = lead - slope
+        further = left > new + 1e-12
+        if further.any():
+            source = np.maximum.accumulate(np.where(new + slope >= lead, np.arange(n + 1), 0))
+            begin = np.where(further, begin[source], begin)
+            new = np.maximum(new, left)
+        score, start = new, begin
+        k = int(score.argmax())
+        if score[k] > best[0]:
+            best = (float(score[k]), int(start[k]), k)
+    return best
+
+
+def leaks_of(items: Items, w, threshold: float) -> list[tuple[int, int, float, int, int]]:
+    """(text, item, score, first word, words) of a batch's texts: the best alignment of each text and item."""
+    at, value = found_seeds(items, w)
+    low, high = np.searchsorted(items.flat, value, "left"), np.searchsorted(items.flat, value, "right")
+    row = np.repeat(np.arange(len(at)), high - low)
+    entry = np.arange(len(row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[row]
+    item, begin = items.item[entry], at[row] - items.place[entry]  # where the item would start
+    doc = np.searchsorted(w.first, at[row], "right") - 1
+    order = np.lexsort((begin, item, doc))
+    item, begin, doc = item[order], begin[order], doc[order]
+    size = np.array([len(x) for x in items.words], np.int64)
+    new = np.ones(len(item), bool)
+    if len(item) > 1:
+        # seeds that lie further apart than gaps could bring them belong to different copies
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > size[item[1:]] // 2 + 4)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(item)) - 1
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for a, b in zip(first, last, strict=True):
+        d, k = int(doc[a]), int(item[a])
+        n, want = len(items.words[k]), 2 if len(items.words[k]) >= 12 else 1
+        if b - a + 1 < want:
+            continue
+        slack = n // 2 + 4
+        x = max(int(begin[a]) - slack, int(w.first[d]))
+        y = min(int(begin[b]) + n + slack, int(w.first[d + 1]))
+        s, i, j = align(items.words[k], w.hash[x:y])
+        s /= n
+        if s >= threshold and s > best.get((d, k), (0,))[0]:
+            best[d, k] = (s, x + i - int(w.first[d]), j - i)
+    return [(*key, *v) for key, v in best.items()]
+
+
+def blocks_of(benchmark: DataFrame) -> Iterator[Items]:
+    """The benchmark's items in blocks, streamed to the driver. Items without words are left out."""
+    ids, texts, size = [], [], 0
+    for r in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
+        ids.append(r.item_id)
+        texts.append(r.text)
+        size += len(r.text.encode())
+        if size >= BLOCK_BYTES:
+            yield Items(ids, texts)
+            ids, texts, size = [], [], 0
+    if ids:
+        yield Items(ids, texts)
+
+
+def rare_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
+    ship(docs.sparkSession)
+    for items in blocks_of(benchmark):
+        rows = docs.select("text").mapInArrow(seed_counts(items), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
+        counts, n = np.zeros(len(items.seeds), np.int64), 0
+        for r in rows:
+            if r.seed < 0:
+                n = r.n
+            else:
+                counts[r.seed] = r.n
+        items.keep_rare(counts, n)
+        yield items
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """docs: doc_id, text; benchmark: item_id, text. Returns doc_id, item_id, score, first_word, n_words of each leak.
+
+    first_word counts from 0. Null and empty texts leak nothing. Repeated documents and items leak each for themselves.
+    """
+    schema = "doc_id long, item_id long, score double, first_word long, n_words long"
+    out = docs.sparkSession.createDataFrame([], schema)
+
+    def search(items: Items):
+        def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in tables:
+                data, offs = buffer(t["text"])
+                for i, j in steps(offs):
+                    w = words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True, PLAIN)
+                    rows = leaks_of(items, w, threshold)
+                    columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+                    ids = t["doc_id"].take(pa.array([i + d for d in columns[0]], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array([items.ids[k] for k in columns[1]], pa.int64()), pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64())], ["doc_id", "item_id", "score", "first_word", "n_words"])
+
+        return run
+
+    for items in rare_blocks(docs, benchmark):
+        out = out.union(docs.select("doc_id", "text").mapInArrow(search(items), schema))
+    return out
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that leak no item, with all columns."""
+    out, columns = docs, docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def drop(items: Items):
+        def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in tables:
+                data, offs = buffer(t["text"])
+                keep = np.ones(t.num_rows, bool)
+                for i, j in steps(offs):
+                    w = words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True, PLAIN)
+                    for d, *_ in leaks_of(items, w, threshold):
+                        keep[i + d] = False
+                yield t.select(columns).filter(pa.array(keep))
+
+        return run
+
+    for items in rare_blocks(docs, benchmark):
+        out = out.mapInArrow(drop(items), schema)
+    return out

@@ -4,8 +4,9 @@ A document's set holds its distinct shingles of five words (A-Z folded). Its sig
 16 chunks of four. Two signatures that differ in at most RADIUS = 31 symbols have, by pigeonhole, a chunk in which at
 most one symbol differs. Enumerating the one allowed error of each chunk gives 64 keys of three symbols, and every
 such pair shares a key. At a similarity of 0.75 a signature differs in 16 symbols on average with a deviation of
-3.5, so a linked pair is beyond the radius about once in 200,000 times. Every pair inside it is confirmed on whole
-sets, unless its ends are linked already.
+3.5, so a linked pair is beyond the radius about once in 200,000 times. A second signature of 256 minima of 8 bits
+then has to differ in at most FINE_RADIUS = 96 symbols (at 0.75: 64 on average, deviation 7, so as rarely beyond).
+Every pair inside both is confirmed on whole sets, unless its ends are linked already.
 
 Equal sets are one node from the start. Keys that only one node has are found without a row for each (see exchange).
 Round 1 compares the members of a key with its smallest node only. Round 2 compares, in blocks, all pairs of a key
@@ -20,35 +21,36 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.components import components
 from corvane.llm.exchange import deal, distinct, joined, member, shared_keys
-from corvane.llm.words import STEP, binary, buffer, mix, shingles, steps, words
+from corvane.llm.words import STEP, binary, buffer, flat, mix, shingles, steps, words
 from corvane.session import ship, table
 
 U = np.uint64
 WORDS, SYMBOLS, CHUNK, ALLOWED = 5, 64, 4, 1
 CHUNKS = SYMBOLS // CHUNK
 RADIUS = CHUNKS * (ALLOWED + 1) - 1
+FINE, FINE_RADIUS = 256, 96
 _rng = np.random.default_rng(77)
-_MUL = _rng.integers(0, 2**32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
-_ADD = _rng.integers(0, 2**32, SYMBOLS, dtype=np.uint32)
-#: Nodes of a bucket in the key exchange, and members of a key that are compared in one block.
-BUCKET, BLOCK = 8192, 512
+_MUL = _rng.integers(0, 2**32, SYMBOLS + FINE, dtype=np.uint32) | np.uint32(1)
+_ADD = _rng.integers(0, 2**32, SYMBOLS + FINE, dtype=np.uint32)
+#: Nodes of a bucket in the key exchange, members of a key that are compared in one block, and rows of a task of blocks.
+BUCKET, BLOCK, TASK = 8192, 512, 8192
 
 
-def signatures(value: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """16-bit minima of each text's shingles; texts without any have zeros."""
-    out = np.zeros((len(first) - 1, SYMBOLS), np.uint16)
+def signatures(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """16-bit and 8-bit minima of each text's shingles; texts without any have zeros."""
+    out = np.zeros((SYMBOLS + FINE, len(first) - 1), np.uint16)
     has = np.flatnonzero(np.diff(first))
     if len(has):
         low = (value >> U(32)).astype(np.uint32)
-        for k in range(SYMBOLS):
+        for k in range(SYMBOLS + FINE):
             least = np.minimum.reduceat(low * _MUL[k] + _ADD[k], first[has]).astype(np.uint64)
-            out[has, k] = (mix(least + U(k << 32)) >> U(48)).astype(np.uint16)
-    return out
+            out[k, has] = (mix(least + U(k << 32)) >> U(48)).astype(np.uint16)
+    return np.ascontiguousarray(out[:SYMBOLS].T), np.ascontiguousarray(out[SYMBOLS:].T).astype(np.uint8)
 
 
 def set_hash(value: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -66,14 +68,12 @@ def sketch(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in steps(offs):
             value, first = shingles(words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True), WORDS)
             n = np.diff(first)
-            sig = signatures(value, first)
+            sig, fine = signatures(value, first)
             node = pa.array(set_hash(value, first).view(np.int64), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([t["doc_id"][i:j], pa.array(n, pa.int64()), node, binary(sig.reshape(-1), np.arange(j - i + 1) * SYMBOLS)], ["doc_id", "n_shingles", "node", "sig"])
+            yield pa.RecordBatch.from_arrays([t["doc_id"][i:j], pa.array(n, pa.int64()), node, binary(sig.reshape(-1), np.arange(j - i + 1) * SYMBOLS), binary(fine.reshape(-1), np.arange(j - i + 1) * FINE)], ["doc_id", "n_shingles", "node", "sig", "fine"])
 
 
 def symbols(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    from corvane.llm.words import flat
-
     return flat(column, np.uint16)[0].reshape(-1, SYMBOLS)
 
 
@@ -102,13 +102,10 @@ def members(t: pa.Table, reply: pa.Table) -> pa.Table:
     return pa.table({"key": keys[keep].view(np.int64), "node": node[keep]})
 
 
-def near(a: pd.Series, b: pd.Series) -> pd.Series:
+def near(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, SYMBOLS) for s in (a, b))
-    return pd.Series((x != y).sum(1) <= RADIUS)
-
-
-def near_udf(a: Column, b: Column) -> Column:
-    return F.pandas_udf(near, "boolean")(a, b)
+    u, v = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, FINE) for s in (c, d))
+    return pd.Series(((x != y).sum(1) <= RADIUS) & ((u != v).sum(1) <= FINE_RADIUS))
 
 
 def confirm(tables: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -136,18 +133,29 @@ def confirm(tables: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 
 def blocks(t: pa.Table) -> pa.Table:
-    """Pairs of one key's blocks i and j whose nodes are near and in different components."""
-    side = t["side"].to_numpy()
-    node, comp, sig = t["node"].to_numpy(), t["comp"].to_numpy(), symbols(t["sig"])
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(right):  # the same block
-        right = left
-    a, b = [], []
-    for x in left:
-        y = right[(comp[right] != comp[x]) & ((sig[right] != sig[x]).sum(1) <= RADIUS)]
-        a.append(np.minimum(node[x], node[y]))
-        b.append(np.maximum(node[x], node[y]))
-    return pa.table({"a": np.concatenate([*a, np.zeros(0, np.int64)]), "b": np.concatenate([*b, np.zeros(0, np.int64)])})
+    """Of many pairs of blocks (key, i, j): pairs of nodes that are near and in different components.
+
+    A pair comes from the first of the keys that its nodes share, and from no other.
+    """
+    key, i, j, side = (t[c].to_numpy() for c in ("key", "i", "j", "side"))
+    node, comp, sig, fine = t["node"].to_numpy(), t["comp"].to_numpy(), symbols(t["sig"]), flat(t["fine"], np.uint8)[0].reshape(-1, FINE)
+    keys = chunk_keys(sig).view(np.int64)
+    order = np.lexsort((side, j, i, key))
+    low, high = order[:-1], order[1:]
+    cut = np.flatnonzero((key[low] != key[high]) | (i[low] != i[high]) | (j[low] != j[high])) + 1
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for rows in np.split(order, cut):
+        left, right = rows[side[rows] == 0], rows[side[rows] == 1]
+        for x in left:
+            y = right if len(right) else left[node[left] > node[x]]  # no right side: one block with itself
+            y = y[comp[y] != comp[x]]
+            y = y[(sig[y] != sig[x]).sum(1) <= RADIUS]
+            y = y[(fine[y] != fine[x]).sum(1) <= FINE_RADIUS]
+            if len(y):
+                y = y[(keys[y] == keys[x]).argmax(1) == (keys[x] == key[x]).argmax()]
+                a.append(np.minimum(node[x], node[y]))
+                b.append(np.maximum(node[x], node[y]))
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -173,8 +181,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select("doc_id", "text")
-    drawn = table(docs.mapInArrow(sketch, "doc_id long, n_shingles long, node long, sig binary"), "sketch")
-    nodes = table(drawn.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "nodes")
+    drawn = table(docs.mapInArrow(sketch, "doc_id long, n_shingles long, node long, sig binary, fine binary"), "sketch")
+    nodes = table(drawn.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("fine").alias("fine")), "nodes")
     n = nodes.count()
     dealt = deal(nodes.select("node", "sig"), "node", max(1, -(-n // BUCKET)))
     reply = shared_keys(dealt, bucket_keys, max(1, -(-n * SYMBOLS // (1 << 20))))
@@ -182,11 +190,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     centre = shared.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n"))
     star = shared.join(centre, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    sig = nodes.select("node", "sig")
+    sig = nodes.select("node", "sig", "fine")
 
     def within(pairs: DataFrame) -> DataFrame:
-        two = pairs.join(sig.withColumnsRenamed({"node": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"node": "b", "sig": "sb"}), "b")
-        return two.where(near_udf(F.col("sa"), F.col("sb"))).select("a", "b")
+        two = pairs.join(sig.toDF("a", "sa", "fa"), "a").join(sig.toDF("b", "sb", "fb"), "b")
+        return two.where(F.pandas_udf(near, "boolean")("sa", "sb", "fa", "fb")).select("a", "b")
 
     first = table(within(star), "pairs")
     links = table(confirmed(first, docs, nodes, percent), "links")
@@ -195,16 +203,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     # round 2: keys whose members are still apart
     known = shared.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     apart = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low <> high")
-    rest = table(known.join(apart.select("key", "n"), "key"), "apart")
-    few = rest.where(f"n <= {BLOCK // 16}").groupBy("key").agg(F.collect_list(F.struct("node", "comp")).alias("m"))
-    few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where("x.node < y.node and x.comp <> y.comp").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    found = within(few)
-    if rest.where(f"n > {BLOCK // 16}").limit(1).count():
-        many = rest.where(f"n > {BLOCK // 16}").withColumn("nb", F.ceil(F.col("n") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")))
-        pairs = many.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
-        pairs = pairs.select("key", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side")).join(sig, "node")
-        found = found.union(pairs.groupBy("key", "i", "j").applyInArrow(blocks, "a long, b long").distinct())
-    second = table(found.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    rest = known.join(apart.select("key", F.ceil(F.col("n") / BLOCK).alias("nb")), "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+    rest = table(rest.select("key", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side")), "apart")
+    tasks = max(1, -(-rest.count() // TASK))
+    found = rest.join(sig, "node").groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)).alias("task")).applyInArrow(blocks, "a long, b long")
+    second = table(found.join(first, ["a", "b"], "left_anti"), "pairs")
     if second.limit(1).count():
         links = links.union(table(confirmed(second, docs, nodes, percent), "links"))
         comps = components(links)

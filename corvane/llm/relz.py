@@ -1 +1,219 @@
-"""To come."""
+"""Repeated passages: relative Lempel-Ziv factors of documents against every earlier document.
+
+A factor is a run of words that an earlier place has too. Only factors of at least 20 words count, so a document is
+parsed greedily by whether the 20-word window at each word is in the index of reference blocks: a factor starts at a
+window that is, and goes on word by word while the next window is. Where a factor ends, the windows across the
+boundary are looked up like any other, so a passage that continues from another reference isn't lost.
+
+The index is dealt, never gathered. Documents lie in buckets of about 8 MB, the reference blocks. The smallest hash of
+the eleven 10-word runs in a window is its anchor; equal windows have equal anchors. Buckets first exchange anchors,
+each once (see exchange); only windows whose anchor another bucket has are then sent, each once, with its first
+document. Their owner tells every bucket which of its windows an earlier document of another bucket has. Repeats within
+a bucket are found there. A passage that a third of all documents hold so costs one entry a bucket.
+
+A window is known by its 64-bit hash and, as parts of the key space are dealt by other bits, by some bits more.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corvane.llm.exchange import joined, member, pack, shared_keys
+from corvane.llm.words import Words, binary, buffer, flat, inside, runs, steps, words
+from corvane.session import ship
+
+WINDOW, GRAM = 20, 10
+BUCKET_BYTES = 8 << 20
+LAST = np.iinfo(np.int64).max
+
+
+def smallest(x: np.ndarray, k: int) -> np.ndarray:
+    """Minimum of each k values in a row."""
+    n, at = len(x) - k + 1, 1
+    if n <= 0:
+        return x[:0]
+    while 2 * at <= k:
+        x = np.minimum(x[:-at], x[at:])
+        at *= 2
+    return np.minimum(x[:n], x[k - at : k - at + n]) if at < k else x
+
+
+class Bucket:
+    """Words and windows of a bucket's texts, in the order of doc_id."""
+
+    def __init__(self, table: pa.Table):
+        ids = table["doc_id"].to_numpy() if not table["doc_id"].null_count else table["doc_id"].fill_null(LAST).to_numpy()
+        self.table = table.take(pa.array(np.argsort(ids, kind="stable")))
+        self.ids = np.sort(ids, kind="stable")
+        self.data, self.offs = buffer(self.table["text"])
+        parts = [words(self.data[self.offs[i] : self.offs[j]], self.offs[i : j + 1] - self.offs[i]) for i, j in steps(self.offs)]
+        ranges = [self.offs[i] for i, _ in steps(self.offs)]
+        sizes = np.cumsum([0, *(len(p.hash) for p in parts)])
+        cat = lambda xs: np.concatenate([*xs, np.zeros(0, np.int64)]).astype(np.int64)
+        first = cat([p.first[:-1] + n for p, n in zip(parts, sizes, strict=False)])
+        self.words = Words(np.concatenate([p.hash for p in parts] + [np.zeros(0, np.uint64)]), cat([p.start + o for p, o in zip(parts, ranges, strict=True)]), cat([p.end + o for p, o in zip(parts, ranges, strict=True)]), np.append(first, sizes[-1]))
+        self.valid = inside(self.words.first, WINDOW)
+
+    def anchors(self) -> np.ndarray:
+        return smallest(runs(self.words.hash, GRAM), WINDOW - GRAM + 1)
+
+    def windows(self) -> np.ndarray:
+        return runs(self.words.hash, WINDOW)
+
+    def doc_of(self, at: np.ndarray) -> np.ndarray:
+        return self.ids[np.searchsorted(self.words.first, at, "right") - 1]
+
+
+def anchor_keys(table: pa.Table) -> np.ndarray:
+    b = Bucket(table)
+    return b.anchors()[b.valid]
+
+
+def first_places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct value stands first, in rising order; and a mask of all other places."""
+    order = np.argsort(x, kind="stable")
+    new = np.ones(len(x), bool)
+    new[1:] = x[order][1:] != x[order][:-1]
+    later = np.ones(len(x), bool)
+    later[order[new]] = False
+    return np.flatnonzero(~later), later
+
+
+def send_windows(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def send(table: pa.Table, reply: pa.Table) -> pa.Table:
+        if not table.num_rows or not reply.num_rows:
+            return pa.table({"part": pa.array([], pa.int64()), "bucket": pa.array([], pa.int64()), "keys": pa.array([], pa.binary()), "docs": pa.array([], pa.binary())})
+        b = Bucket(table)
+        at = np.flatnonzero(b.valid)
+        at = at[member(joined(reply), b.anchors()[at])]
+        hashes = b.windows()[at]
+        keep, _ = first_places(hashes)
+        return pack(table["bucket"][0].as_py(), hashes[keep], parts, docs=b.doc_of(at[keep]).astype(np.int64))
+
+    return send
+
+
+def earlier(table: pa.Table) -> pa.Table:
+    """One part of the key space: for each bucket its windows that another bucket has in an earlier document."""
+    keys, offs = flat(table["keys"])
+    docs = flat(table["docs"], np.int64)[0]
+    bucket = np.repeat(table["bucket"].to_numpy(), np.diff(offs))
+    order = np.lexsort((bucket, docs, keys))
+    keys, bucket = keys[order], bucket[order]
+    again = np.zeros(len(keys), bool)
+    again[1:] = keys[1:] == keys[:-1]
+    keys, bucket = keys[again], bucket[again]
+    order = np.argsort(bucket, kind="stable")
+    here, first = np.unique(bucket[order], return_index=True)
+    return pa.table({"bucket": pa.array(here, pa.int64()), "keys": binary(keys[order], np.append(first, len(keys)))})
+
+
+def removed(b: Bucket, reply: pa.Table) -> np.ndarray:
+    """Mask over a bucket's words: in a window that an earlier place has."""
+    n = len(b.words.hash)
+    at = np.flatnonzero(b.valid)
+    hashes = b.windows()[at]
+    _, later = first_places(hashes)
+    later |= member(joined(reply), hashes)
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, at[later], 1)
+    np.add.at(edge, at[later] + WINDOW, -1)
+    return np.cumsum(edge[:n]) > 0
+
+
+def kept_text(b: Bucket, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of each text's kept words, joined by one space."""
+    w, keep = b.words, np.flatnonzero(~gone)
+    doc = np.searchsorted(w.first, keep, "right") - 1
+    more = np.append(doc[1:] == doc[:-1], False) if len(keep) else np.zeros(0, bool)  # another kept word follows in this text
+    edge = np.zeros(len(b.data) + 1, np.int8)
+    edge[w.start[keep]] += 1
+    np.subtract.at(edge, w.end[keep], 1)
+    mask = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    data = b.data.copy()
+    data[w.end[keep][more]] = 0x20
+    mask[w.end[keep][more]] = True
+    return data[mask], np.append(0, np.cumsum(mask))[b.offs]
+
+
+def digest(b: Bucket, gone: np.ndarray) -> pa.Table:
+    data, offs = kept_text(b, gone)
+    view, first = memoryview(data), b.words.first
+    cut = np.append(0, np.cumsum(gone))
+    sha = [hashlib.sha256(view[i:j]).hexdigest() for i, j in zip(offs[:-1], offs[1:], strict=True)]
+    return pa.table({"doc_id": b.table["doc_id"], "n_words": np.diff(first), "n_removed": cut[first[1:]] - cut[first[:-1]], "kept_sha256": pa.array(sha, pa.string())})
+
+
+def spans(b: Bucket, gone: np.ndarray) -> pa.Table:
+    """The words to remove as ranges of word numbers of a document."""
+    first = b.words.first
+    new = gone & ~np.append(False, gone[:-1])
+    new[first[:-1][first[:-1] < len(gone)]] |= gone[first[:-1][first[:-1] < len(gone)]]
+    start = np.flatnonzero(new)
+    doc = np.searchsorted(first, start, "right") - 1
+    cut = np.append(0, np.cumsum(gone))
+    stop = np.minimum(np.append(start[1:], len(gone)), first[doc + 1])
+    return pa.table({"doc_id": b.table["doc_id"].take(pa.array(doc)), "first_word": start - first[doc], "n_words": cut[stop] - cut[start]})
+
+
+def cut(b: Bucket, gone: np.ndarray) -> pa.Table:
+    """All columns; a text from which words went holds the rest, joined by one space, and n_chars (if there) its length."""
+    data, offs = kept_text(b, gone)
+    n = np.append(0, np.cumsum(gone))
+    hit = n[b.words.first[1:]] > n[b.words.first[:-1]]
+    text = b.table["text"].to_pylist()
+    for i in np.flatnonzero(hit):
+        text[i] = bytes(data[offs[i] : offs[i + 1]]).decode() or None
+    out = {c: b.table[c] for c in b.table.column_names if c != "bucket"} | {"text": pa.array(text, pa.string()), "gone": pa.array([bool(h) and t is None for h, t in zip(hit, text, strict=True)])}
+    if "n_chars" in out:
+        out["n_chars"] = pa.array([len(t) if h and t is not None else k for t, k, h in zip(text, out["n_chars"].to_pylist(), hit, strict=True)], pa.int64())
+    return pa.table(out)
+
+
+def repeats(docs: DataFrame, finish: Callable[[Bucket, np.ndarray], pa.Table], schema: T.StructType | str, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Apply finish to each bucket of docs and the mask of its repeated words.
+
+    docs has doc_id and text. Null text has no words. Earlier means a smaller doc_id; null ids come last; rows of the same
+    id are earlier or later than one another in a fixed order. An empty table gives an empty one.
+    """
+    ship(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // bucket_bytes))
+    parts = max(1, -(-size // (4 * bucket_bytes)))
+    rows = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("long"))
+    anchors = shared_keys(rows, anchor_keys, parts)
+    sent = rows.groupBy("bucket").cogroup(anchors.groupBy("bucket")).applyInArrow(send_windows(parts), "part long, bucket long, keys binary, docs binary")
+    reply = sent.groupBy("part").applyInArrow(earlier, "bucket long, keys binary")
+    empty = pa.table({"doc_id": pa.array([], pa.int64())})
+
+    def last(table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:  # an answer has a bucket of rows always
+            return empty
+        b = Bucket(table)
+        return finish(b, removed(b, answers))
+
+    return rows.groupBy("bucket").cogroup(reply.groupBy("bucket")).applyInArrow(last, schema)
+
+
+def repeat_digest(docs: DataFrame) -> DataFrame:
+    """Per row of docs: doc_id, n_words, n_removed, kept_sha256."""
+    return repeats(docs.select("doc_id", "text"), digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def repeat_spans(docs: DataFrame) -> DataFrame:
+    """The ranges of words to remove: doc_id, first_word (from 0), n_words."""
+    return repeats(docs.select("doc_id", "text"), spans, "doc_id long, first_word long, n_words long")
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """docs without the repeated words. A document all of whose words went is dropped; others keep all columns."""
+    held = [c for c in docs.columns if c not in ("bucket", "gone")]
+    schema = T.StructType([f for f in docs.schema.fields if f.name in held] + [T.StructField("gone", T.BooleanType())])
+    return repeats(docs.select(*held), cut, schema).where("not gone").drop("gone")

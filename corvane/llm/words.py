@@ -15,6 +15,10 @@ import pyarrow.compute as pc
 U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Every ASCII character but letters and digits parts words as well.
+PLAIN = np.ones(256, bool)
+for _low, _high in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
+    PLAIN[_low:_high] = False
 _rng = np.random.default_rng(20240229)
 _EXACT = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _FOLDED = _EXACT.copy()
@@ -78,13 +82,13 @@ def steps(offs: np.ndarray, limit: int = STEP):
         i = min(j, n)
 
 
-def words(data: np.ndarray, offs: np.ndarray, fold: bool = False) -> Words:
+def words(data: np.ndarray, offs: np.ndarray, fold: bool = False, space: np.ndarray = _SPACE) -> Words:
     """The words of texts that lie one after another in data."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), z, z, np.zeros(len(offs), np.int64))
-    solid = ~_SPACE[data]
+    solid = ~space[data]
     begin = solid.copy()
     begin[1:] &= ~solid[:-1]
     inner = offs[:-1][(offs[:-1] < n) & (np.diff(offs) > 0)]
