@@ -9,9 +9,10 @@ then has to differ in at most FINE_RADIUS = 96 symbols (at 0.75: 64 on average,
 Every pair inside both is confirmed on whole sets, unless its ends are linked already.
 
 Equal sets are one node from the start. Keys that only one node has are found without a row for each (see exchange).
-Round 1 compares the members of a key with its smallest node only. Round 2 compares, in blocks, all pairs of a key
-whose ends round 1 has left apart, so no link between two components is lost, while a group of n near copies needs
-about n comparisons, not n squared.
+Round 1 compares the members of a key with its smallest node only. Round 2 compares, in blocks, all signatures of a key
+whose members round 1 has left apart. What is near there makes families, and round 3 confirms, again in blocks, the near pairs of
+a family on whole sets. So no link between two components is lost. Both hand on a spanning forest of what they
+find, so a group of n near copies never makes more than n rows a block.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ FINE, FINE_RADIUS = 256, 96
 _rng = np.random.default_rng(77)
 _MUL = _rng.integers(0, 2**32, SYMBOLS + FINE, dtype=np.uint32) | np.uint32(1)
 _ADD = _rng.integers(0, 2**32, SYMBOLS + FINE, dtype=np.uint32)
-#: Nodes of a bucket in the key exchange, members of a key that are compared in one block, and rows of a task of blocks.
-BUCKET, BLOCK, TASK = 8192, 512, 8192
+#: Nodes of a bucket in the key exchange, members of a key that are compared in one block, rows of a task
+#: of blocks, and shingles of a block of texts.
+BUCKET, BLOCK, TASK, SHINGLES = 8192, 512, 8192, 300_000
 
 
 def signatures(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,30 +134,98 @@ def confirm(tables: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([t[c].take(pa.array(keep, pa.int64())) for c in ("a", "b")], ["a", "b"])
 
 
-def blocks(t: pa.Table) -> pa.Table:
-    """Of many pairs of blocks (key, i, j): pairs of nodes that are near and in different components.
+class Forest:
+    """Union-find over row numbers."""
 
-    A pair comes from the first of the keys that its nodes share, and from no other.
-    """
-    key, i, j, side = (t[c].to_numpy() for c in ("key", "i", "j", "side"))
-    node, comp, sig, fine = t["node"].to_numpy(), t["comp"].to_numpy(), symbols(t["sig"]), flat(t["fine"], np.uint8)[0].reshape(-1, FINE)
-    keys = chunk_keys(sig).view(np.int64)
-    order = np.lexsort((side, j, i, key))
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def roots(self, x: np.ndarray) -> np.ndarray:
+        up = self.up
+        while True:
+            y = up[up[x]]
+            if (y == up[x]).all():
+                return y
+            up[x] = y
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.roots(np.array([a, b]))
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def parted(names: list[str], t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of blocks that a table holds, as rows of its left and its right block. A block with itself is left only."""
+    columns = [t[c].to_numpy() for c in names]
+    side = t["side"].to_numpy()
+    order = np.lexsort((side, *columns))
     low, high = order[:-1], order[1:]
-    cut = np.flatnonzero((key[low] != key[high]) | (i[low] != i[high]) | (j[low] != j[high])) + 1
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for rows in np.split(order, cut):
-        left, right = rows[side[rows] == 0], rows[side[rows] == 1]
+    change = np.zeros(len(low), bool)
+    for c in columns:
+        change |= c[low] != c[high]
+    return [(rows[side[rows] == 0], rows[side[rows] == 1]) for rows in np.split(order, np.flatnonzero(change) + 1)]
+
+
+def forest_edges(node: np.ndarray, a: list[int], b: list[int]) -> pa.Table:
+    x, y = node[np.array(a, np.int64)], node[np.array(b, np.int64)]
+    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+
+def families(t: pa.Table) -> pa.Table:
+    """Of many pairs of blocks (key, i, j): a forest over nodes that are near and in different components."""
+    node, comp, sig, fine = t["node"].to_numpy(), t["comp"].to_numpy(), symbols(t["sig"]), flat(t["fine"], np.uint8)[0].reshape(-1, FINE)
+    _, first, same = np.unique(node, return_index=True, return_inverse=True)
+    twin, a, b = first[same], [], []  # a node's first row, as it may have several
+    trees = Forest(len(node))
+    for left, right in parted(["key", "i", "j"], t):
         for x in left:
-            y = right if len(right) else left[node[left] > node[x]]  # no right side: one block with itself
-            y = y[comp[y] != comp[x]]
+            y = right if len(right) else left[node[left] > node[x]]
+            y = y[(comp[y] != comp[x]) & (trees.roots(twin[y]) != trees.roots(twin[x : x + 1]))]
             y = y[(sig[y] != sig[x]).sum(1) <= RADIUS]
-            y = y[(fine[y] != fine[x]).sum(1) <= FINE_RADIUS]
-            if len(y):
-                y = y[(keys[y] == keys[x]).argmax(1) == (keys[x] == key[x]).argmax()]
-                a.append(np.minimum(node[x], node[y]))
-                b.append(np.maximum(node[x], node[y]))
-    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+            for z in y[(fine[y] != fine[x]).sum(1) <= FINE_RADIUS]:
+                if trees.join(twin[x], twin[z]):
+                    a.append(x)
+                    b.append(z)
+    return forest_edges(node, a, b)
+
+
+def links_within(percent: int):
+    def run(t: pa.Table) -> pa.Table:
+        """Of many pairs of blocks (family, i, j): a forest of links between nodes in different components."""
+        node, comp = t["node"].to_numpy(), t["comp"].to_numpy()
+        data, offs = buffer(t["text"])
+        sets, sigs, fines = [], [], []
+        for i, j in steps(offs):
+            value, first = shingles(words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True), WORDS)
+            right = set_hash(value, first).view(np.int64) == node[i:j]
+            sets += [value[x:y] if ok else value[:0] for x, y, ok in zip(first[:-1], first[1:], right, strict=True)]
+            for to, new in zip((sigs, fines), signatures(value, first), strict=True):
+                to.append(new)
+        sig, fine, size = np.concatenate(sigs), np.concatenate(fines), np.array([len(x) for x in sets])
+        _, first, same = np.unique(comp, return_index=True, return_inverse=True)
+        twin, a, b = first[same], [], []  # rows of one component are one tree from the start
+        trees = Forest(len(node))
+        for left, right in parted(["family", "i", "j"], t):
+            for x in left:
+                y = right if len(right) else left[node[left] > node[x]]
+                y = y[(100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])) & (size[y] > 0)]
+                y = y[trees.roots(twin[y]) != trees.roots(twin[x : x + 1])]
+                y = y[(sig[y] != sig[x]).sum(1) <= RADIUS]
+                for z in y[(fine[y] != fine[x]).sum(1) <= FINE_RADIUS]:
+                    common = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
+                    if 100 * common >= percent * (size[x] + size[z] - common) and trees.join(twin[x], twin[z]):
+                        a.append(x)
+                        b.append(z)
+        return forest_edges(node, a, b)
+
+    return run
+
+
+def in_pairs(rows: DataFrame, group: str) -> DataFrame:
+    """rows has group, node and nb, the number of blocks of its group: each row once for every pair of blocks it is in."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+    pair = own.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")})
+    return pair.drop("own", "other", "nb").withColumn("spread", F.xxhash64(group, "i", "j"))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -182,7 +252,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     ship(spark)
     docs = docs.select("doc_id", "text")
     drawn = table(docs.mapInArrow(sketch, "doc_id long, n_shingles long, node long, sig binary, fine binary"), "sketch")
-    nodes = table(drawn.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("fine").alias("fine")), "nodes")
+    nodes = table(drawn.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("fine").alias("fine")), "nodes")
     n = nodes.count()
     dealt = deal(nodes.select("node", "sig"), "node", max(1, -(-n // BUCKET)))
     reply = shared_keys(dealt, bucket_keys, max(1, -(-n * SYMBOLS // (1 << 20))))
@@ -203,15 +273,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     # round 2: keys whose members are still apart
     known = shared.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     apart = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low <> high")
-    rest = known.join(apart.select("key", F.ceil(F.col("n") / BLOCK).alias("nb")), "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
-    rest = table(rest.select("key", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side")), "apart")
+    rest = table(known.join(apart.select("key", F.ceil(F.col("n") / BLOCK).alias("nb")), "key"), "apart")
     tasks = max(1, -(-rest.count() // TASK))
-    found = rest.join(sig, "node").groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)).alias("task")).applyInArrow(blocks, "a long, b long")
-    second = table(found.join(first, ["a", "b"], "left_anti"), "pairs")
-    if second.limit(1).count():
-        links = links.union(table(confirmed(second, docs, nodes, percent), "links"))
-        comps = components(links)
+    found = in_pairs(rest, "key").join(sig, "node").groupBy(F.pmod("spread", F.lit(tasks)).alias("task")).applyInArrow(families, "a long, b long")
+    found = table(found, "near")
+    if found.limit(1).count():
+        # round 3
+        kin = components(found).select("node", F.col("comp").alias("family")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        kin = table(kin.join(nodes.select("node", "rep", "n_shingles"), "node"), "kin")
+        nb = F.ceil(F.greatest(F.count("*") / (BLOCK // 2), F.sum("n_shingles") / SHINGLES)).alias("nb")
+        kin = table(kin.join(kin.groupBy("family").agg(nb), "family"), "kin")
+        size = kin.agg(F.sum(F.col("n_shingles") * F.col("nb"))).first()[0]
+        rows = docs.join(kin.drop("n_shingles").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("family", "node", "comp", "nb", "text")
+        more = in_pairs(rows, "family").groupBy(F.pmod("spread", F.lit(max(1, -(-size // SHINGLES)))).alias("task")).applyInArrow(links_within(percent), "a long, b long")
+        comps = components(links.union(table(more, "links")))
 
     named = nodes.select("node", "rep").join(comps, "node", "left").select("node", "rep", F.coalesce("comp", "node").alias("comp"))
     least = named.groupBy("comp").agg(F.min("rep").alias("least"))
