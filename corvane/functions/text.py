@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 #: A short list of English function words; a parameter of clean_text.
 STOPWORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "were", "with")
@@ -74,7 +75,7 @@ def peak(t: Column, hours: tuple[tuple[int, int], ...] = ((1, 4), (6, 10))) -> C
     return busy & (F.weekday(t) < 5)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def unescape(x: pd.Series) -> pd.Series:
     """HTML entities decoded until nothing changes, three passes at most. There is no built-in for it."""
 

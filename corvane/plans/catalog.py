@@ -17,8 +17,11 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict:
+    from corvane.plans import records  # noqa: F401  registers its queries
+
     return dict(_found)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_sql)
