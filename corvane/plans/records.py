@@ -257,10 +257,10 @@ def range_bucket(spark, sf_dir):
     return n.groupBy(b.alias("bucket")).agg(F.count("*").alias("sources"), F.sum("count").alias("docs"))
 
 
-@query("nearest_ancestor", "with recursive t as (select n_nationkey node, n_nationkey at, 0 depth from nation union all select node, at // 5, depth + 1 from t where at >= 5) select node, min(at) ancestor, max(depth)::bigint depth from t group by node")
+@query("nearest_ancestor", "with recursive t as (select n_nationkey::bigint node, n_nationkey::bigint up, 0 depth from nation union all select node, up // 5, depth + 1 from t where up >= 5) select node, min(up) ancestor, max(depth)::bigint depth from t group by node")
 def nearest_ancestor(spark, sf_dir):
     read(spark, sf_dir, "nation").createOrReplaceTempView("corvane_nation")
-    return spark.sql("with recursive t as (select n_nationkey node, cast(n_nationkey as bigint) at, 0 depth from corvane_nation union all select node, at div 5, depth + 1 from t where at >= 5) select node, cast(min(at) as int) ancestor, cast(max(depth) as bigint) depth from t group by node")
+    return spark.sql("with recursive t as (select cast(n_nationkey as bigint) node, cast(n_nationkey as bigint) up, 0 depth from corvane_nation union all select node, up div 5, depth + 1 from t where up >= 5) select node, min(up) ancestor, cast(max(depth) as bigint) depth from t group by node")
 
 
 # ---- clusters ----
