@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     labels = table(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "node"), "labels")
     while True:
         # each node hands its label to its neighbours and to its own label's node
-        given = both.join(labels, F.col("a") == F.col("node")).select(F.col("b").alias("node"), "comp")
+        given = both.join(labels, F.col("a") == F.col("node")).groupBy(F.col("b").alias("node")).agg(F.min("comp").alias("comp"))
         up = given.join(labels.select(F.col("node").alias("n2"), F.col("comp").alias("c2")), F.col("node") == F.col("n2")).select(F.col("c2").alias("node"), "comp")
         low = given.union(up).union(labels).groupBy("node").agg(F.min("comp").alias("low"))
         jump = low.join(low.select(F.col("node").alias("n2"), F.col("low").alias("l2")), F.col("low") == F.col("n2"), "left")

@@ -148,10 +148,9 @@ class Forest:
                 return y
             up[x] = y
 
-    def join(self, a: int, b: int) -> bool:
+    def join(self, a: int, b: int) -> None:
         a, b = self.roots(np.array([a, b]))
         self.up[max(a, b)] = min(a, b)
-        return a != b
 
 
 def parted(names: list[str], t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -166,27 +165,29 @@ def parted(names: list[str], t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]
     return [(rows[side[rows] == 0], rows[side[rows] == 1]) for rows in np.split(order, np.flatnonzero(change) + 1)]
 
 
-def forest_edges(node: np.ndarray, a: list[int], b: list[int]) -> pa.Table:
-    x, y = node[np.array(a, np.int64)], node[np.array(b, np.int64)]
-    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+def stars(node: np.ndarray, root: np.ndarray) -> pa.Table:
+    """Each tree (nodes of one root) as edges from its smallest node: tasks that find the same tree give the same edges."""
+    order = np.lexsort((node, root))
+    first = np.flatnonzero(np.append(True, root[order][1:] != root[order][:-1])) if len(node) else np.zeros(0, np.int64)
+    a = np.repeat(node[order][first], np.diff(np.append(first, len(node))))
+    b = node[order]
+    keep = a != b
+    return pa.table({"a": a[keep], "b": b[keep]})
 
 
 def families(t: pa.Table) -> pa.Table:
     """Of many pairs of blocks (key, i, j): a forest over nodes that are near and in different components."""
     node, comp, sig, fine = t["node"].to_numpy(), t["comp"].to_numpy(), symbols(t["sig"]), flat(t["fine"], np.uint8)[0].reshape(-1, FINE)
     _, first, same = np.unique(node, return_index=True, return_inverse=True)
-    twin, a, b = first[same], [], []  # a node's first row, as it may have several
-    trees = Forest(len(node))
+    twin, trees = first[same], Forest(len(node))  # twin: a node's first row, as it may have several
     for left, right in parted(["key", "i", "j"], t):
         for x in left:
             y = right if len(right) else left[node[left] > node[x]]
             y = y[(comp[y] != comp[x]) & (trees.roots(twin[y]) != trees.roots(twin[x : x + 1]))]
             y = y[(sig[y] != sig[x]).sum(1) <= RADIUS]
             for z in y[(fine[y] != fine[x]).sum(1) <= FINE_RADIUS]:
-                if trees.join(twin[x], twin[z]):
-                    a.append(x)
-                    b.append(z)
-    return forest_edges(node, a, b)
+                trees.join(twin[x], twin[z])
+    return stars(node[first], trees.roots(first))
 
 
 def links_within(percent: int):
@@ -203,8 +204,7 @@ def links_within(percent: int):
                 to.append(new)
         sig, fine, size = np.concatenate(sigs), np.concatenate(fines), np.array([len(x) for x in sets])
         _, first, same = np.unique(comp, return_index=True, return_inverse=True)
-        twin, a, b = first[same], [], []  # rows of one component are one tree from the start
-        trees = Forest(len(node))
+        twin, trees = first[same], Forest(len(node))  # rows of one component are one tree from the start
         for left, right in parted(["family", "i", "j"], t):
             for x in left:
                 y = right if len(right) else left[node[left] > node[x]]
@@ -213,10 +213,9 @@ def links_within(percent: int):
                 y = y[(sig[y] != sig[x]).sum(1) <= RADIUS]
                 for z in y[(fine[y] != fine[x]).sum(1) <= FINE_RADIUS]:
                     common = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
-                    if 100 * common >= percent * (size[x] + size[z] - common) and trees.join(twin[x], twin[z]):
-                        a.append(x)
-                        b.append(z)
-        return forest_edges(node, a, b)
+                    if 100 * common >= percent * (size[x] + size[z] - common):
+                        trees.join(twin[x], twin[z])
+        return stars(comp[first], trees.roots(first))
 
     return run
 
