@@ -118,6 +118,8 @@ def align(item: np.ndarray, part: np.ndarray) -> tuple[float, int, int]:
 def leaks_of(items: Items, w, threshold: float) -> list[tuple[int, int, float, int, int]]:
     """(text, item, score, first word, words) of a batch's texts: the best alignment of each text and item."""
     at, value = found_seeds(items, w)
+    if not len(at):
+        return []
     low, high = np.searchsorted(items.flat, value, "left"), np.searchsorted(items.flat, value, "right")
     row = np.repeat(np.arange(len(at)), high - low)
     entry = np.arange(len(row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[row]
