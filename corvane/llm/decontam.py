@@ -1,9 +1,9 @@
 """Benchmark leaks: rare n-gram seeds, then Smith-Waterman alignment by words.
 
 Words are runs of letters and digits, A-Z folded. The seeds of an item are its three-word runs; how many documents hold
-each is counted over all documents. An item keeps the seeds in at most RARE of the documents, and the rarer half of its seeds in
-any case, so an item that is copied all over the corpus is still found. Where a document has seeds of an item at
-places that fit together, that region is aligned with the whole item: a match is 1, a mismatch or gap -0.5. A document
+each is counted over all documents. An item keeps the seeds in at most RARE of the documents (or RARE_DOCS of them), and the
+rarer half of its seeds in any case, so an item that is copied all over the corpus is still found. Where a document has seeds of an item at
+places that fit together (two seeds, or one if it has fewer than 12 words), that region is aligned with the whole item: a match is 1, a mismatch or gap -0.5. A document
 leaks an item if the best local score is at least THRESHOLD of the item's words.
 
 The benchmark is held against all documents, in blocks of at most BLOCK_BYTES of text that are sent to the executors, so a
@@ -23,7 +23,7 @@ from corvane.llm.exchange import member
 from corvane.llm.words import PLAIN, buffer, runs, steps, words
 from corvane.session import ship
 
-GRAM, RARE, THRESHOLD, PENALTY, BLOCK_BYTES = 3, 0.001, 0.5, 0.5, 8 << 20
+GRAM, RARE, RARE_DOCS, THRESHOLD, PENALTY, BLOCK_BYTES = 3, 0.001, 50, 0.5, 0.5, 8 << 20
 
 
 class Items:
@@ -52,7 +52,7 @@ class Items:
         first = np.searchsorted(self.item[order], np.arange(len(self.words)))
         rank[order] = np.arange(len(n)) - first[self.item[order]]
         own = np.bincount(self.item, minlength=len(self.words))[self.item]
-        keep = (n <= RARE * docs) | (rank < (own + 1) // 2)
+        keep = (n <= max(RARE_DOCS, RARE * docs)) | (rank < (own + 1) // 2)
         self.flat, self.item, self.place = self.flat[keep], self.item[keep], self.place[keep]
         self.seeds = np.unique(self.flat)
 
