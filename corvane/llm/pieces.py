@@ -238,7 +238,7 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
         for t in tables:
             data, offs = buffer(t["text"])
             keys = t["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i, j in steps(offs, 2 << 20):
+            for i, j in steps(offs, 1 << 19):
                 sub, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
                 ids, at = sample(v, sub, o, mix(keys[i:j]), seed)
                 back, size = spell(v, ids)
