@@ -49,6 +49,13 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(at))
 
 
+def bound_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Python workers get batches of at most this many bytes, not of 10,000 rows of any length, unless the session was told another bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, size)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share. Set to a local one only where the session names none, as in tests."""
     sc = spark.sparkContext
