@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corvane.llm.words import _EXACT, buffer, mix, powers, steps
-from corvane.session import ship
+from corvane.session import bound_batches, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SHIFT, LONGEST, SEED = 1.0, 20.0, 64, 0
+#: Bytes of text whose lattices are built at once. Larger steps share hardly more segments and cost more memory and time.
+LATTICES = 1 << 16
 U = np.uint64
 
 
@@ -232,13 +234,15 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
     Null text has null ids and no pieces; empty text has none. Rows of one id share their draws, so equal rows are cut alike.
     """
     ship(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     v = load(path)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in tables:
             data, offs = buffer(t["text"])
             keys = t["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i, j in steps(offs, 1 << 19):
+            parts, counts, lossless = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+            for i, j in steps(offs, LATTICES):
                 sub, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
                 ids, at = sample(v, sub, o, mix(keys[i:j]), seed)
                 back, size = spell(v, ids)
@@ -248,9 +252,13 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
                     good = wrong[o[1:]] == wrong[o[:-1]]
                 else:
                     good = np.array([bytes(back[a:b]) == bytes(sub[c:d]) for a, b, c, d in zip(ends[:-1], ends[1:], o[:-1], o[1:], strict=True)], bool)
-                null = t["text"][i:j].is_null().to_numpy(zero_copy_only=False)
-                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids), mask=pa.array(null) if null.any() else None)
-                yield pa.RecordBatch.from_arrays([t["doc_id"][i:j], pa.array(np.diff(at)), lists, pa.array(good)], ["doc_id", "n_pieces", "ids", "lossless"])
+                parts.append(ids)
+                counts.append(np.diff(at))
+                lossless.append(good)
+            n, null = np.concatenate(counts), t["text"].is_null().to_numpy(zero_copy_only=False)
+            at = pa.array(np.append(0, np.cumsum(n)).astype(np.int32))
+            lists = pa.ListArray.from_arrays(at, pa.array(np.concatenate(parts)), mask=pa.array(null) if null.any() else None)
+            yield pa.RecordBatch.from_arrays([t["doc_id"], pa.array(n), lists, pa.array(np.concatenate(lossless))], ["doc_id", "n_pieces", "ids", "lossless"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_pieces long, ids array<int>, lossless boolean")
 
@@ -258,6 +266,7 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """encoded: doc_id, ids. Returns doc_id, text. Null ids give a null text."""
     ship(encoded.sparkSession)
+    bound_batches(encoded.sparkSession)
     v = load(path)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
