@@ -64,3 +64,15 @@ def diff(old: DataFrame, new: DataFrame, key: list[str], column: str) -> DataFra
     j = a.join(b, key, "full_outer")
     state: Column = F.when(F.col("old_value").isNull(), "added").when(F.col("new_value").isNull(), "removed").when(F.col("old_value") == F.col("new_value"), "same").otherwise("changed")
     return j.withColumn("state", state)
+
+
+def substrings(text: Column, terms: list[str]) -> Column:
+    """Those terms that the text holds anywhere, whole words or not; null text holds none."""
+    low = F.lower(text)
+    return F.array_compact(F.array(*[F.when(low.contains(t), t) for t in terms]))
+
+
+def known_holder(new: DataFrame, known: DataFrame, value: str, known_value: str, holder: str) -> DataFrame:
+    """Each new row with the smallest existing holder of its value, upper and lower case alike, and whether there is none."""
+    held = known.groupBy(F.lower(known_value).alias("_value")).agg(F.min(holder).alias("holder"))
+    return new.join(held, F.lower(new[value]) == F.col("_value"), "left").drop("_value").withColumn("is_new", F.col("holder").isNull())
