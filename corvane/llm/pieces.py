@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corvane.llm.words import _EXACT, buffer, mix, powers, steps
-from corvane.session import bound_batches, ship
+from corvane.session import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SHIFT, LONGEST, SEED = 1.0, 20.0, 64, 0
@@ -232,9 +232,9 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
     """docs: doc_id, text. Returns per row: doc_id, n_pieces, ids, lossless (whether the ids decode to the text's bytes).
 
     Null text has null ids and no pieces; empty text has none. Rows of one id share their draws, so equal rows are cut alike.
+    A session whose batches are too large for its executors can bound them first (session.bound_batches).
     """
     ship(docs.sparkSession)
-    bound_batches(docs.sparkSession)
     v = load(path)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +266,6 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """encoded: doc_id, ids. Returns doc_id, text. Null ids give a null text."""
     ship(encoded.sparkSession)
-    bound_batches(encoded.sparkSession)
     v = load(path)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

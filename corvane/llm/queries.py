@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.session import read
+from corvane.session import bound_batches, read
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,7 @@ def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corvane.llm.pieces import encode
 
+    bound_batches(spark)
     return encode(read(spark, sf_dir, "documents"))
 
 
