@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -34,6 +35,48 @@ def contains_sequence(words: Column, phrase: str) -> Column:
     return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")).contains(f" {phrase} ")
 
 
+#: Markup that strip_formatting takes off: (pattern, replacement), applied in this order.
+MARKUP = (
+    (r"\[([^\]\[]*)\]\([^()]*\)", "$1"),
+    (r"(?m)^ {0,3}#+ +", ""),
+    (r"(?m)^ {0,3}> ?", ""),
+    (r"(?m)^ *[*+-] +", ""),
+    (r"\*+", ""),
+    (r"`+", ""),
+    (r"[ \t\n-]+", " "),
+)
+
+
+def strip_formatting(x: Column) -> Column:
+    """Text without markdown: links give their label, headings, quotes, bullets, stars and ticks go, hyphens are spaces."""
+    for pattern, to in MARKUP:
+        x = F.regexp_replace(x, pattern, to)
+    return F.trim(x)
+
+
+def members(values: Column, wanted: list[str]) -> Column:
+    """The values that are among wanted, case apart; null gives none."""
+    low = [w.lower() for w in wanted]
+    return F.coalesce(F.filter(values, lambda v: F.lower(v).isin(*low)), F.array().cast("array<string>"))
+
+
+def in_batch(x: Column, names: list[str], prefixes: list[str]) -> Column:
+    """Whether x is one of names or starts with one of prefixes, taken literally. ValueError if neither is given."""
+    tests = ([x.isin(*names)] if names else []) + [x.startswith(p) for p in prefixes]
+    if not tests:
+        raise ValueError("neither names nor prefixes")
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return F.coalesce(out, F.lit(False))
+
+
+def rendered(template: str, **fields: Column) -> Column:
+    """The template with {name} replaced by the fields' text; null is empty."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[F.coalesce(fields[p].cast("string"), F.lit("")) if i % 2 else F.lit(p) for i, p in enumerate(parts)])
+
+
 def slugify(x: Column, most: int = 60) -> Column:
     return F.left(F.regexp_replace(F.regexp_replace(F.lower(x), "[^a-z0-9]+", "-"), "^-+|-+$", ""), F.lit(most))
 

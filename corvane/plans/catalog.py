@@ -17,7 +17,7 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict:
-    from corvane.plans import records, reports  # noqa: F401  they register their queries
+    from corvane.plans import curation, records, reports  # noqa: F401  they register their queries
 
     return dict(_found)
 

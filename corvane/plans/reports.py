@@ -193,11 +193,11 @@ def url_hosts(spark, sf_dir):
     return read(spark, sf_dir, "pages").select(links.host(F.col("url")).alias("host")).where("host <> ''").groupBy("host").agg(F.count("*").alias("n"))
 
 
-@query("link_ids_cleaned", "select l_orderkey, l_linenumber, 'ABC' || l_partkey id from lineitem where l_linenumber <= 2")
+@query("link_ids_cleaned", "select l_orderkey, l_linenumber, 'ABC' || l_partkey id from lineitem")
 def link_ids_cleaned(spark, sf_dir):
     k = F.col("l_partkey")
     raw = F.when(k % 3 == 0, F.concat(F.lit("(ABC"), k, F.lit("."))).when(k % 3 == 1, F.concat(F.lit('"ABC'), k, F.lit('";'))).otherwise(F.concat(F.lit("ABC"), k, F.lit("), and more")))
-    return read(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select("l_orderkey", "l_linenumber", links.cleaned(raw).alias("id"))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", links.cleaned(raw).alias("id"))
 
 
 @query("freshness", "select event_id, ts < timestamp '2024-01-15' stale from events where event_type = 'error'")
