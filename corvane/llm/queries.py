@@ -73,4 +73,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from corvane.llm import sql
+
+    return {"op1_warc": sql.ARCHIVE, "op2_near_duplicates": sql.NEAR, "op9_repeats": sql.REPEATS}
