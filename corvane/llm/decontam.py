@@ -1,10 +1,11 @@
-"""Benchmark leaks: rare n-gram seeds, then Smith-Waterman alignment by words.
+"""Benchmark leaks: rare words as anchors, then Smith-Waterman alignment by words.
 
-Words are runs of letters and digits, A-Z folded. The seeds of an item are its three-word runs; how many documents hold
-each is counted over all documents. An item keeps the seeds in at most RARE of the documents (or RARE_DOCS of them), and the
-rarer half of its seeds in any case, so an item that is copied all over the corpus is still found. Where a document has seeds of an item at
-places that fit together (two seeds, or one if it has fewer than 12 words), that region is aligned with the whole item: a match is 1, a mismatch or gap -0.5. A document
-leaks an item if the best local score is at least THRESHOLD of the item's words.
+Words are runs of letters and digits, A-Z folded. A match is 1, a mismatch or gap -0.5; a document leaks an item if the best
+local score is at least THRESHOLD of the item's n words. Such an alignment matches at least m = THRESHOLD n of the item's words
+within a bounded stretch of the document. Of any n - m + k words of the item it so matches k or more: these are its anchors, and
+a stretch with k of them is looked at. How often words occur in all documents only orders them, rarest first, so anchors are few;
+no copy is missed, whatever its edits and however often it is repeated. Stretches with m of the item's words are aligned with the
+whole item.
 
 The benchmark is held against all documents, in blocks of at most BLOCK_BYTES of text that are sent to the executors, so a
 benchmark of any size can be used. Whether a document leaks depends on it alone: no document moves.
@@ -20,71 +21,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.exchange import member
-from corvane.llm.words import PLAIN, buffer, runs, steps, words
+from corvane.llm.words import PLAIN, buffer, steps, words
 from corvane.session import ship
 
-GRAM, RARE, RARE_DOCS, THRESHOLD, PENALTY, BLOCK_BYTES = 3, 0.001, 50, 0.5, 0.5, 8 << 20
+THRESHOLD, PENALTY, BLOCK_BYTES = 0.5, 0.5, 8 << 20
+#: Share of the matches a leak needs that must be anchors: more anchors wanted make stretches fewer, but the anchors commoner.
+WANTED = 0.35
+#: Places of parts that are aligned at once.
+CELLS = 1 << 16
 
 
 class Items:
-    """A block of the benchmark: each item's words, and its seeds as sorted hashes with the items and places they are from."""
+    """A block of the benchmark: each item's words, and its anchors as sorted hashes with the items they are from."""
 
-    def __init__(self, ids: list, texts: list[str]):
+    def __init__(self, ids: list, texts: list[str], threshold: float = THRESHOLD):
         data, offs = buffer(pa.array(texts, pa.large_string()))
         w = words(data, offs, True, PLAIN)
         parts = [w.hash[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.ids = [i for i, p in zip(ids, parts, strict=True) if len(p)]
         self.words = [p for p in parts if len(p)]
-        grams = [runs(p, min(GRAM, len(p))) for p in self.words]
-        flat = np.concatenate([*grams, np.zeros(0, np.uint64)])
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        self.place = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, np.int64)]).astype(np.int64)
+        self.distinct = [np.unique(p, return_counts=True) for p in self.words]
+        self.numbers = [np.searchsorted(own, p) for p, (own, _) in zip(self.words, self.distinct, strict=True)]
+        self.vocabulary = np.unique(np.concatenate([*self.words, np.zeros(0, np.uint64)]))
+        n = np.array([len(p) for p in self.words], np.int64)
+        self.matches = np.maximum(1, np.ceil(threshold * n - 1e-9)).astype(np.int64)
+        self.span = (n + np.maximum(0, n - threshold * n) / PENALTY + 1e-9).astype(np.int64)  # words an alignment covers at most
+        self.wanted = np.maximum(1, (self.matches * WANTED).astype(np.int64))
+        self.anchor(np.zeros(len(self.vocabulary), np.int64))
+
+    def anchor(self, counts: np.ndarray) -> None:
+        """counts: how often each word of the vocabulary occurs in the documents. Anchors are each item's rarest words."""
+        flat, item = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for k, p in enumerate(self.words):
+            order = np.lexsort((p, counts[np.searchsorted(self.vocabulary, p)]))
+            flat.append(np.unique(p[order[: len(p) - self.matches[k] + self.wanted[k]]]))
+            item.append(np.full(len(flat[-1]), k))
+        flat, item = np.concatenate(flat), np.concatenate(item)
         order = np.argsort(flat, kind="stable")
-        self.flat, self.item, self.place = flat[order], self.item[order], self.place[order]
-        self.lengths = sorted({min(GRAM, len(p)) for p in self.words})
-        self.seeds = np.unique(self.flat)
-
-    def keep_rare(self, counts: np.ndarray, docs: int) -> None:
-        """counts: documents with each of seeds. Common seeds go, but for the rarer half of each item's."""
-        n = counts[np.searchsorted(self.seeds, self.flat)]
-        order = np.lexsort((self.place, n, self.item))
-        rank = np.empty(len(n), np.int64)
-        first = np.searchsorted(self.item[order], np.arange(len(self.words)))
-        rank[order] = np.arange(len(n)) - first[self.item[order]]
-        own = np.bincount(self.item, minlength=len(self.words))[self.item]
-        keep = (n <= max(RARE_DOCS, RARE * docs)) | (rank < (own + 1) // 2)
-        self.flat, self.item, self.place = self.flat[keep], self.item[keep], self.place[keep]
-        self.seeds = np.unique(self.flat)
-
-
-def found_seeds(items: Items, w) -> tuple[np.ndarray, np.ndarray]:
-    """Places of seeds among a batch's words (never across texts) and their hashes."""
-    at, value = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    owner = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-    for k in items.lengths:
-        h = runs(w.hash, k)
-        hit = np.flatnonzero(member(items.seeds, h))
-        hit = hit[owner[hit] == owner[hit + k - 1]] if len(hit) else hit
-        at.append(hit)
-        value.append(h[hit])
-    return np.concatenate(at), np.concatenate(value)
-
-
-def seed_counts(items: Items):
+        self.flat, self.item = flat[order], item[order]
+        self.anchors = np.unique(self.flat)
+
+
+def word_counts(items: Items):
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, docs = np.zeros(len(items.seeds), np.int64), 0
+        total = np.zeros(len(items.vocabulary), np.int64)
         for t in tables:
-            docs += t.num_rows
             data, offs = buffer(t["text"])
             for i, j in steps(offs):
-                w = words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True, PLAIN)
-                at, value = found_seeds(items, w)
-                doc = np.searchsorted(w.first, at, "right") - 1
-                seed = np.searchsorted(items.seeds, value)
-                pair = np.unique(doc * max(1, len(items.seeds)) + seed)
-                total += np.bincount(pair % max(1, len(items.seeds)), minlength=len(items.seeds))
+                h = words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True, PLAIN).hash
+                total += np.bincount(np.searchsorted(items.vocabulary, h[member(items.vocabulary, h)]), minlength=len(total))
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], docs))], ["seed", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["word", "n"])
 
     return run
 
@@ -115,42 +102,85 @@ def align(item: np.ndarray, part: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
-def leaks_of(items: Items, w, threshold: float) -> list[tuple[int, int, float, int, int]]:
-    """(text, item, score, first word, words) of a batch's texts: the best alignment of each text and item."""
-    at, value = found_seeds(items, w)
+def stretches(items: Items, w) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first word, word after) of a batch: all places that hold as many anchors of an item as a leak must."""
+    at = np.flatnonzero(member(items.anchors, w.hash))
     if not len(at):
-        return []
-    low, high = np.searchsorted(items.flat, value, "left"), np.searchsorted(items.flat, value, "right")
+        return
+    low, high = np.searchsorted(items.flat, w.hash[at], "left"), np.searchsorted(items.flat, w.hash[at], "right")
     row = np.repeat(np.arange(len(at)), high - low)
-    entry = np.arange(len(row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[row]
-    item, begin = items.item[entry], at[row] - items.place[entry]  # where the item would start
-    doc = np.searchsorted(w.first, at[row], "right") - 1
-    order = np.lexsort((begin, item, doc))
-    item, begin, doc = item[order], begin[order], doc[order]
-    size = np.array([len(x) for x in items.words], np.int64)
-    new = np.ones(len(item), bool)
-    if len(item) > 1:
-        # seeds that lie further apart than gaps could bring them belong to different copies
-        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > size[item[1:]] // 2 + 4)
+    item = items.item[np.arange(len(row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[row]]
+    at = at[row]
+    doc = np.searchsorted(w.first, at, "right") - 1
+    key = doc * len(items.words) + item
+    order = np.argsort(key, kind="stable")
+    at, item, doc, key = at[order], item[order], doc[order], key[order]
+    span = items.span[item]
+    end = np.arange(len(at)) + items.wanted[item] - 1  # the last of the anchors wanted from here on
+    near = end < len(at)
+    end[~near] = 0
+    near &= (key[end] == key) & (at[end] - at < span)
+    hit = np.flatnonzero(near)
+    if not len(hit):
+        return
+    key, doc, item = key[hit], doc[hit], item[hit]
+    x, y = np.maximum(at[end[hit]] - span[hit] + 1, w.first[doc]), np.minimum(at[hit] + span[hit], w.first[doc + 1])
+    new = np.ones(len(hit), bool)
+    new[1:] = (key[1:] != key[:-1]) | (x[1:] > y[:-1])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(item)) - 1
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for a, b in zip(first, last, strict=True):
-        d, k = int(doc[a]), int(item[a])
-        n, want = len(items.words[k]), 2 if len(items.words[k]) >= 12 else 1
-        if b - a + 1 < want:
+    yield from zip(doc[first].tolist(), item[first].tolist(), x[first].tolist(), y[np.append(first[1:], len(hit)) - 1].tolist(), strict=True)
+
+
+def best_scores(items: list[np.ndarray], parts: list[np.ndarray]) -> np.ndarray:
+    """The best local score of each item in its part, many at once. Words are numbers; -1 in a part is a word the item lacks."""
+    out = np.zeros(len(parts), np.float32)
+    order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+    a = 0
+    while a < len(order):
+        b = a + 1
+        while b < len(order) and (b + 1 - a) * len(parts[order[b]]) <= CELLS:
+            b += 1
+        some = order[a:b]
+        x = np.full((max(len(items[i]) for i in some), b - a), -2, np.int32)
+        y = np.full((len(parts[some[-1]]), b - a), -1, np.int32)
+        for c, i in enumerate(some):
+            x[: len(items[i]), c], y[: len(parts[i]), c] = items[i], parts[i]
+        slope = (PENALTY * np.arange(len(y) + 1, dtype=np.float32))[:, None]  # halves: exact in 32 bits
+        score, best = np.zeros((len(y) + 1, b - a), np.float32), np.zeros(b - a, np.float32)
+        for row in x:
+            new = score - np.float32(PENALTY)
+            np.maximum(new[1:], score[:-1] + np.where(y == row, np.float32(1), np.float32(-PENALTY)), out=new[1:])
+            np.maximum(new, 0, out=new)
+            new += slope
+            np.maximum.accumulate(new, axis=0, out=new)
+            new -= slope
+            score = new
+            np.maximum(best, score.max(axis=0), out=best)
+        out[some] = best
+        a = b
+    return out
+
+
+def leaks_of(items: Items, w, threshold: float) -> list[tuple[int, int, float, int, int]]:
+    """(text, item, score, first word, words) of a batch's texts: the best alignment of each text and item."""
+    found, parts = [], []
+    for d, k, x, y in stretches(items, w):
+        part, (own, times) = w.hash[x:y], items.distinct[k]
+        place = np.minimum(np.searchsorted(own, part), len(own) - 1)
+        same = own[place] == part
+        if np.count_nonzero(same) < items.matches[k] or np.minimum(np.bincount(place[same], minlength=len(own)), times).sum() < items.matches[k]:
             continue
-        slack = n // 2 + 4
-        x = max(int(begin[a]) - slack, int(w.first[d]))
-        y = min(int(begin[b]) + n + slack, int(w.first[d + 1]))
-        s, i, j = align(items.words[k], w.hash[x:y])
-        s /= n
-        if s >= threshold and s > best.get((d, k), (0,))[0]:
-            best[d, k] = (s, x + i - int(w.first[d]), j - i)
+        found.append((d, k, x, y))
+        parts.append(np.where(same, place, -1))
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for (d, k, x, y), s in zip(found, best_scores([items.numbers[k] for _, k, _, _ in found], parts).tolist(), strict=True):
+        if s / len(items.words[k]) >= threshold and s / len(items.words[k]) > best.get((d, k), (0,))[0]:
+            s, i, j = align(items.words[k], w.hash[x:y])
+            best[d, k] = (s / len(items.words[k]), x + i - int(w.first[d]), j - i)
     return [(*key, *v) for key, v in best.items()]
 
 
-def blocks_of(benchmark: DataFrame) -> Iterator[Items]:
+def blocks_of(benchmark: DataFrame, threshold: float) -> Iterator[Items]:
     """The benchmark's items in blocks, streamed to the driver. Items without words are left out."""
     ids, texts, size = [], [], 0
     for r in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
@@ -158,23 +188,19 @@ def blocks_of(benchmark: DataFrame) -> Iterator[Items]:
         texts.append(r.text)
         size += len(r.text.encode())
         if size >= BLOCK_BYTES:
-            yield Items(ids, texts)
+            yield Items(ids, texts, threshold)
             ids, texts, size = [], [], 0
     if ids:
-        yield Items(ids, texts)
+        yield Items(ids, texts, threshold)
 
 
-def rare_blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Items]:
+def anchored_blocks(docs: DataFrame, benchmark: DataFrame, threshold: float) -> Iterator[Items]:
     ship(docs.sparkSession)
-    for items in blocks_of(benchmark):
-        rows = docs.select("text").mapInArrow(seed_counts(items), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
-        counts, n = np.zeros(len(items.seeds), np.int64), 0
-        for r in rows:
-            if r.seed < 0:
-                n = r.n
-            else:
-                counts[r.seed] = r.n
-        items.keep_rare(counts, n)
+    for items in blocks_of(benchmark, threshold):
+        counts = np.zeros(len(items.vocabulary), np.int64)
+        for r in docs.select("text").mapInArrow(word_counts(items), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
+            counts[r.word] = r.n
+        items.anchor(counts)
         yield items
 
 
@@ -199,7 +225,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
         return run
 
-    for items in rare_blocks(docs, benchmark):
+    for items in anchored_blocks(docs, benchmark, threshold):
         out = out.union(docs.select("doc_id", "text").mapInArrow(search(items), schema))
     return out
 
@@ -222,6 +248,6 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
         return run
 
-    for items in rare_blocks(docs, benchmark):
+    for items in anchored_blocks(docs, benchmark, threshold):
         out = out.mapInArrow(drop(items), schema)
     return out
