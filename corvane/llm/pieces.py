@@ -1,7 +1,7 @@
 """Sampled piece segmentations by forward filtering and backward sampling, and their lossless decoding.
 
-A SentencePiece model file gives the pieces. A text is cut before each run of spaces and around control characters; within such
-a segment all pieces that match form a lattice. The forward pass sums the weights of all ways to each place, the
+A SentencePiece model file gives the pieces. A text is cut where no piece can cross: between characters whose adjoining bytes no
+piece holds side by side, as before each run of spaces. Such a segment may have any length; all pieces that match form its lattice. The forward pass sums the weights of all ways to each place, the
 backward pass draws a segmentation from its end, each piece with its share of the weight. Draws are hashes of the row's key, a
 seed and the byte place, so a row always gets the same segmentation, whatever rows are beside it.
 
@@ -9,8 +9,8 @@ Piece weights come from ranks: a model of merges has no probabilities, so piece
 Nothing is normalised: spaces are the pieces' marker one for one, and characters without a piece (the
 marker itself too) are spelt in the model's byte pieces. So decoding gives back every byte.
 
-Segments longer than LONGEST bytes are cut at a character, which no piece then crosses. Distinct segments of a batch
-share one lattice.
+Sums of weights shrink with each piece, so beyond UNSCALED bytes each place has its own power of two. Distinct segments of a
+batch share one lattice.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from corvane.llm.words import _EXACT, buffer, mix, powers, steps
 from corvane.session import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-ALPHA, SHIFT, LONGEST, SEED = 1.0, 20.0, 64, 0
+ALPHA, SHIFT, UNSCALED, SEED = 1.0, 20.0, 32, 0
 #: Bytes of text whose lattices are built at once. Larger steps share hardly more segments and cost more memory and time.
 LATTICES = 1 << 16
 U = np.uint64
@@ -46,6 +46,7 @@ class Vocabulary:
         children: dict[tuple[int, int], int] = {}
         ends = [-1]
         self.longest = 1
+        self.pairs = np.zeros(1 << 16, bool)  # bytes that lie side by side in a piece
         for i, text, rank in pieces:
             node = 0
             for b in text:
@@ -59,6 +60,8 @@ class Vocabulary:
             self.text[i] = text
             weight[i] = 1 / (rank + SHIFT) ** ALPHA
             self.longest = max(self.longest, len(text))
+            for a, b in zip(text[:-1], text[1:], strict=True):
+                self.pairs[a << 8 | b] = True
         self.weight, self.ends = weight, np.array(ends, np.int32)
         self.bits = max(8, int(4 * len(children)).bit_length())
         self.keys, self.to = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
@@ -98,31 +101,17 @@ def load(path: str = MODEL) -> Vocabulary:
         if sp.is_byte(i):
             bytes_[int(sp.id_to_piece(i)[3:5], 16)] = i
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-            text = sp.id_to_piece(i).replace("▁", " ").encode()
-            if b" " not in text.lstrip(b" ") and not any(b < 32 for b in text):  # what can't lie in one segment is never drawn
-                pieces.append((i, text, -sp.get_score(i)))
+            pieces.append((i, sp.id_to_piece(i).replace("▁", " ").encode(), -sp.get_score(i)))
     return Vocabulary(pieces, bytes_)
 
 
-def segments(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Where segments start: at texts, before runs of spaces, at and after control characters, and in long ones every so often."""
+def segments(v: Vocabulary, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Where segments start: at texts, and at characters that no piece holds together with the byte before."""
     n = len(data)
-    space, control = data == 0x20, (data < 0x20) | (data == 0x7F)
     begin = np.zeros(n, bool)
-    begin[1:] = (space[1:] & ~space[:-1]) | control[1:] | control[:-1]
+    begin[1:] = ~v.pairs[data[:-1].astype(np.int64) << 8 | data[1:]] & ((data[1:] & 0xC0) != 0x80)
     begin[offs[:-1][offs[:-1] < n]] = True
-    start = np.flatnonzero(begin)
-    size = np.diff(np.append(start, n))
-    for i in np.flatnonzero(size > LONGEST):
-        # a cut lands on a character's first byte, and for runs of anything depends on the segment alone
-        at, end = start[i] + LONGEST, start[i] + size[i]
-        while at < end:
-            k = at
-            while k > at - 4 and data[k] & 0xC0 == 0x80:
-                k -= 1
-            begin[k] = True
-            at = k + LONGEST
-    return np.flatnonzero(begin) if (size > LONGEST).any() else start
+    return np.flatnonzero(begin)
 
 
 def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -167,7 +156,7 @@ def lattice(v: Vocabulary, data: np.ndarray, offs: np.ndarray):
     end = place[src] + length
     source = src + seg[src]
     target = source + length
-    order = np.argsort(end << 40 | target << 7 | length)  # by place, as the forward pass goes, then by node
+    order = np.argsort(end << 7 + (n + len(size)).bit_length() | target << 7 | length)  # by place, as the forward pass goes, then by node
     length = length[order]
     source, target, piece, end = source[order], target[order], piece[order], end[order]
     weight = v.weight[piece]
@@ -175,11 +164,19 @@ def lattice(v: Vocabulary, data: np.ndarray, offs: np.ndarray):
     total[offs[:-1] + np.arange(len(size))] = 1.0
     cut = np.searchsorted(end, np.arange(1, int(end.max()) + 2)) if len(end) else np.zeros(1, np.int64)
     share = np.empty(len(source))
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
+    power = np.zeros(len(total), np.int32)
+    for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True), 1):
         share[a:b] = total[source[a:b]] * weight[a:b]
         first = np.flatnonzero(np.append(True, target[a + 1 : b] != target[a : b - 1])) if b > a else np.zeros(0, np.int64)
-        if len(first):
+        if len(first) and k <= UNSCALED:
             total[target[a:b][first]] = np.add.reduceat(share[a:b], first)
+        elif len(first):
+            here, times, scale = target[a:b][first], np.diff(np.append(first, b - a)), power[source[a:b]]
+            top = np.maximum.reduceat(scale, first)
+            share[a:b] = np.ldexp(share[a:b], scale - np.repeat(top, times))
+            total[here], up = np.frexp(np.add.reduceat(share[a:b], first))
+            share[a:b] = np.ldexp(share[a:b], -np.repeat(up, times))
+            power[here] = top + up
     order = np.argsort(target << 7 | length)
     source, target, piece, share = source[order], target[order], piece[order], share[order] / total[target[order]]
     # whole numbers: their sums don't depend on what else is in the batch
@@ -191,7 +188,7 @@ def sample(v: Vocabulary, data: np.ndarray, offs: np.ndarray, keys: np.ndarray,
     n = len(data)
     if not n:
         return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
-    start = segments(data, offs)
+    start = segments(v, data, offs)
     end = np.append(start[1:], n)
     up, down = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
