@@ -1,9 +1,8 @@
-"""Repeated passages: relative Lempel-Ziv factors of documents against every earlier document.
+"""Repeated passages: words in a run of 20 that an earlier place has too, found by exact window hashing.
 
-A factor is a run of words that an earlier place has too. Only factors of at least 20 words count, so a document is
-parsed greedily by whether the 20-word window at each word is in the index of reference blocks: a factor starts at a
-window that is, and goes on word by word while the next window is. Where a factor ends, the windows across the
-boundary are looked up like any other, so a passage that continues from another reference isn't lost.
+This replaces a relative Lempel-Ziv parse: no factors (document, offset, length) are built. Every 20-word window whose hash an
+earlier place has is marked, and the union of these windows goes. A greedy parse would lose windows across factor boundaries and
+have to look them up like this anyway; the words found are exactly those of all repeated windows.
 
 The index is dealt, never gathered. Documents lie in buckets of about 8 MB, the reference blocks. The smallest hash of
 the eleven 10-word runs in a window is its anchor; equal windows have equal anchors. Buckets first exchange anchors,
