@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from corvane.session import ship, table
 
-#: Rows that a range should have, most ranges, and sampled keys for each range.
-RANGE_ROWS, MOST_RANGES, DRAWS = 50_000, 2048, 24
+#: Rows and bytes that a range should have at most, most ranges, and sampled keys for each range.
+RANGE_ROWS, RANGE_BYTES, MOST_RANGES, DRAWS = 50_000, 64 << 20, 2048, 24
 WHOLE = 200
 
 
@@ -30,6 +30,11 @@ def drawn(df: DataFrame, total: int, n: int) -> list[int]:
     return [r[0] for r in df.where(chance < F.col("size") * F.lit(n / max(1, total))).select("place").collect()]
 
 
+def ranges_for(rows: int, total: int, shards: int) -> int:
+    """As many ranges as shards, and more where these would have too many rows or bytes."""
+    return int(min(MOST_RANGES, rows, max(shards, -(-rows // RANGE_ROWS), -(-total // RANGE_BYTES))))
+
+
 def splitters(df: DataFrame, total: int, ranges: int) -> list[int]:
     """Boundaries of the ranges, subdivided where a range has too much."""
     if ranges < 2:
@@ -82,7 +87,7 @@ def shard_rows(docs: DataFrame, shards: int = 8) -> DataFrame:
     placed = rows.join(F.broadcast(large), F.col("hash") == F.col("large"), "left")
     placed = placed.withColumn("place", F.when(F.col("large").isNull(), place).otherwise(place.bitwiseOR(F.xxhash64("doc_id").bitwiseAND(low))))
     placed = table(placed.select("doc_id", "size", "text_crc32", "hash", "place", F.col("large").isNotNull().alias("spread")), "placed")
-    cuts = splitters(placed, total, int(min(MOST_RANGES, -(-n // RANGE_ROWS))))
+    cuts = splitters(placed, total, ranges_for(n, total, shards))
     ranged = placed.withColumn("r", range_of(cuts))
     sums = sorted(map(tuple, ranged.groupBy("r").agg(F.sum("size"), F.count("*")).collect()))
     before, offsets = [0, 0], []
