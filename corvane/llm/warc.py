@@ -26,6 +26,8 @@ from corvane.session import shared_dir, ship, table
 SKIPPABLE, FRAME = b"\x5d\x2a\x4d\x18", b"\x28\xb5\x2f\xfd"
 #: Raw bytes of a file, bytes of its dictionary, and bytes of records that the dictionary is trained from.
 FILE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES, LEVEL = 24 << 20, 48 << 10, 2 << 20, 3
+#: Bytes of a record that are learnt from at most, and of one piece of it where records are few.
+LEARN_BYTES, PIECE_BYTES = 64 << 10, 4 << 10
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 MANIFEST = "path string, records long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
@@ -53,11 +55,13 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, ki
 
 
 def dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """Trained from records spread over the file; none if there are too few to learn from."""
-    total, step = sum(map(len, records)), 1
+    """Trained from the starts of records spread over the file; none if there are too few bytes to learn from."""
+    total, step = sum(min(len(r), LEARN_BYTES) for r in records), 1
     while total / step > SAMPLE_BYTES and step < len(records):
         step += 1
-    some = [r[: 64 << 10] for r in records[::step]]  # only what the dictionary learns from; records are written whole
+    some = [r[:LEARN_BYTES] for r in records[::step]]  # only what the dictionary learns from; records are written whole
+    if len(some) < 16:  # few but large records are learnt from in pieces
+        some = [r[i : i + PIECE_BYTES] for r in some for i in range(0, len(r), PIECE_BYTES)]
     if len(some) < 16:
         return None
     try:
