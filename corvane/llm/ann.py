@@ -176,20 +176,27 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS,
     router = Router(x[len(fresh) :], parts)
     probes = router.probes(x, fresh, k, target)
 
-    def place(many: int):
+    def place(many: int, held: np.ndarray | None = None):
+        """Each row at its first parts: many, and with held (rows of the parts) as many more as hold k rows of other ids."""
+
         def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in tables:
                 if t.num_rows:
-                    r = router.ranked(matrix(t["embedding"]), many)
-                    row = pa.array(np.repeat(np.arange(t.num_rows), r.shape[1]))
-                    yield pa.RecordBatch.from_arrays([t["vec_id"].take(row), t["embedding"].take(row), pa.array(r.reshape(-1).astype(np.int32))], ["vec_id", "embedding", "part"])
+                    r = router.ranked(matrix(t["embedding"]), many if held is None else router.parts)
+                    take = np.ones(r.shape, bool)
+                    if held is not None:
+                        before = np.cumsum(held[r], 1) - held[r]
+                        take = (np.arange(r.shape[1]) < many) | (before < k + t["own"].to_numpy()[:, None])
+                    row = pa.array(np.repeat(np.arange(t.num_rows), take.sum(1)))
+                    yield pa.RecordBatch.from_arrays([t["vec_id"].take(row), t["embedding"].take(row), pa.array(r[take].astype(np.int32))], ["vec_id", "embedding", "part"])
 
         return run
 
     schema = "vec_id long, embedding array<double>, part int"
     indexed = table(good.mapInArrow(place(1), schema), "indexed")
-    asked = good.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).mapInArrow(place(probes), schema)
     sizes = {r[0]: r[1] for r in indexed.groupBy("part").count().collect()}  # at most one row a part
+    held = np.array([sizes.get(p, 0) for p in range(router.parts)], np.int64)
+    asked = good.where(F.col("vec_id") % every == 0).withColumn("own", F.count("*").over(Window.partitionBy("vec_id"))).dropDuplicates(["vec_id"]).mapInArrow(place(probes, held), schema)
     blocks = F.lit(1)
     for p, x in sizes.items():
         blocks = F.when(F.col("part") == p, -(-x // BLOCK)).otherwise(blocks)
