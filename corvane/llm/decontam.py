@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.exchange import member
+from corvane.llm.exchange import member, plainly
 from corvane.llm.words import PLAIN, buffer, steps, words
 from corvane.session import ship
 
@@ -198,8 +198,8 @@ def anchored_blocks(docs: DataFrame, benchmark: DataFrame, threshold: float) ->
     ship(docs.sparkSession)
     for items in blocks_of(benchmark, threshold):
         counts = np.zeros(len(items.vocabulary), np.int64)
-        for r in docs.select("text").mapInArrow(word_counts(items), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
-            counts[r.word] = r.n
+        found = docs.select("text").mapInArrow(word_counts(items), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the block at most
+        counts[found["word"].to_numpy()] = found["n"].to_numpy()
         items.anchor(counts)
         yield items
 
@@ -231,9 +231,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that leak no item, with all columns."""
-    out, columns = docs, docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    """The rows of docs that leak no item, with all columns, whatever their names."""
+    out = plainly(docs, "text")
+    schema = out.schema
 
     def drop(items: Items):
         def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,10 +244,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
                     w = words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], True, PLAIN)
                     for d, *_ in leaks_of(items, w, threshold):
                         keep[i + d] = False
-                yield t.select(columns).filter(pa.array(keep))
+                yield t.filter(pa.array(keep))
 
         return run
 
     for items in anchored_blocks(docs, benchmark, threshold):
         out = out.mapInArrow(drop(items), schema)
-    return out
+    return out.toDF(*docs.columns)

@@ -25,12 +25,18 @@ _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
 _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
-#: Scripts by a character's lead byte: 0 none, 1 Latin, 2 Greek, 3 Cyrillic, 4 Armenian and Hebrew, 5 Arabic, 6 Indic and South-East Asian, 7 Han and Kana, 8 Hangul, 9 others
-SCRIPTS = 10
-_SCRIPT = np.zeros(256, np.int8)
-_SCRIPT[0x41:0x5B] = _SCRIPT[0x61:0x7B] = 1
-for _low, _high, _s in ((0xC3, 0xCC, 1), (0xCD, 0xD0, 2), (0xD0, 0xD4, 3), (0xD4, 0xD8, 4), (0xD8, 0xE0, 5), (0xE0, 0xE2, 6), (0xE3, 0xEA, 7), (0xEA, 0xEE, 8), (0xEF, 0xF8, 9)):
-    _SCRIPT[_low:_high] = _s
+#: Script ranges: first code point, and the number of the script that holds from there on; 0 is none (signs, digits, marks).
+RANGES = (
+    (0x00, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0xAB, 0), (0xC0, 1), (0x2B0, 0), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (0x700, 7), (0x780, 8), (0x7C0, 9),
+    (0x900, 10), (0x980, 11), (0xA00, 12), (0xA80, 13), (0xB00, 14), (0xB80, 15), (0xC00, 16), (0xC80, 17), (0xD00, 18), (0xD80, 19), (0xE00, 20), (0xE80, 21), (0xF00, 22), (0x1000, 23), (0x10A0, 24),
+    (0x1100, 25), (0x1200, 26), (0x13A0, 27), (0x1780, 28), (0x1800, 29), (0x18B0, 9), (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x2C00, 9), (0x3040, 30), (0x30A0, 31), (0x3100, 9), (0x3400, 32),
+    (0xA000, 9), (0xAC00, 25), (0xD7B0, 9), (0xF900, 32), (0xFB00, 1), (0xFB13, 4), (0xFB1D, 5), (0xFB50, 6), (0xFE00, 0), (0xFE70, 6), (0xFF00, 0), (0xFF21, 1), (0xFF3B, 0), (0xFF41, 1), (0xFF5B, 0),
+    (0xFF66, 31), (0xFFA0, 25), (0xFFE0, 0), (0x10000, 9), (0x1F000, 0), (0x20000, 32), (0xE0000, 0),
+)
+SCRIPTS = 33
+_FROM = np.array([x for x, _ in RANGES])
+_IS = np.array([s for _, s in RANGES], np.int8)
+_ASCII = _IS[np.searchsorted(_FROM, np.arange(128), "right") - 1]
 
 
 def trigrams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,13 +72,29 @@ def counted(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], ["lang", "place", "n"])
 
 
+def scripts(data: np.ndarray) -> np.ndarray:
+    """The script of the character that starts at each byte; 0 at bytes within a character."""
+    out = np.where(data < 0x80, _ASCII[data & 0x7F], 0).astype(np.int8)
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        more = np.concatenate([data, np.zeros(3, np.uint8)])
+        size = np.digitize(data[lead], (0xE0, 0xF0)) + 1  # bytes that follow
+        code = data[lead].astype(np.int64) & np.array([0, 0x1F, 0x0F, 0x07])[size]
+        for k in (1, 2, 3):
+            code = np.where(size >= k, code << 6 | more[lead + k] & 0x3F, code)
+        out[lead] = _IS[np.searchsorted(_FROM, code, "right") - 1]
+    return out
+
+
 def word_scripts(data: np.ndarray, w) -> np.ndarray:
-    return np.maximum.reduceat(_SCRIPT[data], w.start) if len(w.start) else np.zeros(0, np.int8)
+    """The script of each word: that of the highest number among its characters, 0 where it has no letter."""
+    return np.maximum.reduceat(scripts(data), w.start) if len(w.start) else np.zeros(0, np.int8)
 
 
 class Model:
     def __init__(self, counts: dict[str, np.ndarray]):
         self.langs = sorted(counts)
+        self.step = max(1 << 16, STEP * 8 // max(8, len(self.langs)))  # bytes of text at once: words times languages are bounded
         table = np.array([counts[k] for k in self.langs], float).reshape(-1, (1 << BITS) + SCRIPTS)
         n = table[:, : 1 << BITS]
         self.log = np.log((n + 0.3) / (n.sum(1, keepdims=True) + 0.3 * (1 << BITS))).astype(np.float32)
@@ -103,7 +125,8 @@ def viterbi(emit: np.ndarray, first: np.ndarray) -> np.ndarray:
     start, size = first[:-1][order], size[order]
     longest = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(longest), "left")  # texts with more than t words
-    back = np.zeros(emit.shape, np.int8)
+    kind = np.min_scalar_type(-max(1, emit.shape[1]))
+    back = np.zeros(emit.shape, kind)
     best = np.zeros((len(size), emit.shape[1]))
     for t in range(longest):
         k = active[t]
@@ -113,11 +136,11 @@ def viterbi(emit: np.ndarray, first: np.ndarray) -> np.ndarray:
             top = now.argmax(1)
             move = now[np.arange(k), top][:, None] - SWITCH
             stay = now >= move
-            back[at] = np.where(stay, np.arange(emit.shape[1], dtype=np.int8), top[:, None])
+            back[at] = np.where(stay, np.arange(emit.shape[1], dtype=kind), top[:, None])
             now = np.where(stay, now, move)
         best[:k] = now + emit[at]
-    label = np.zeros(len(emit), np.int8)
-    state = best.argmax(1).astype(np.int8)
+    label = np.zeros(len(emit), kind)
+    state = best.argmax(1).astype(kind)
     for t in range(longest - 1, -1, -1):
         k = active[t]
         at = start[:k] + t
@@ -128,16 +151,15 @@ def viterbi(emit: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def has_letter(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Texts with at least one Unicode letter."""
-    n = np.append(0, np.cumsum(_SCRIPT[data] == 1)) if len(data) else np.zeros(1, np.int64)
-    ascii_n = np.append(0, np.cumsum((_SCRIPT[data] == 1) & (data < 0x80))) if len(data) else n
-    found = ascii_n[offs[1:]] > ascii_n[offs[:-1]]
+    n = np.append(0, np.cumsum((data < 0x80) & (_ASCII[data & 0x7F] == 1)))
+    found = n[offs[1:]] > n[offs[:-1]]
     for i in np.flatnonzero(~found & (np.diff(offs) > 0)):
         found[i] = any(c.isalpha() for c in bytes(data[offs[i] : offs[i + 1]]).decode(errors="replace"))
     return found
 
 
 def fit(docs: DataFrame, out: int = 1, fold: int = 3) -> Model:
-    """docs: doc_id, text, lang. Rows of the held-out fold and with a null lang, id or text are left out. Languages are few (thousands at most)."""
+    """docs: doc_id, text, lang. Rows of the held-out fold and with a null lang, id or text are left out. The model holds 2**BITS numbers for each language, so languages are some hundreds at most."""
     ship(docs.sparkSession)
     use = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out(out, fold))
     sizes = use.groupBy("lang").agg(F.count("*").alias("all"))
@@ -159,13 +181,13 @@ def predict(model: Model):
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in tables:
             data, offs = buffer(t["text"])
-            for i, j in steps(offs, STEP):
+            for i, j in steps(offs, model.step):
                 sub, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
                 name, score = np.full(j - i, "und", object), np.zeros(j - i)
                 if model.langs:
                     w, label, letters = model.label(sub, o)
                     owner = np.repeat(np.arange(j - i), np.diff(w.first))
-                    weight = np.bincount(owner * len(model.langs) + label, weights=letters, minlength=(j - i) * len(model.langs)).reshape(j - i, -1)
+                    weight = np.bincount(owner * len(model.langs) + label.astype(np.int64), weights=letters, minlength=(j - i) * len(model.langs)).reshape(j - i, -1)
                     some = has_letter(sub, o)
                     best = weight.argmax(1)
                     name = np.where(some, np.array(model.langs, object)[best], "und")
@@ -188,7 +210,7 @@ def language_spans(docs: DataFrame, model: Model) -> DataFrame:
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in tables:
             data, offs = buffer(t["text"])
-            for i, j in steps(offs, STEP):
+            for i, j in steps(offs, model.step):
                 w, label, _ = model.label(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 owner = np.repeat(np.arange(j - i), np.diff(w.first))
                 new = np.ones(len(label), bool)

@@ -4,8 +4,8 @@ A document's set holds its distinct shingles of five words (A-Z folded). Its sig
 16 chunks of four. Two signatures that differ in at most RADIUS = 31 symbols have, by pigeonhole, a chunk in which at
 most one symbol differs. Enumerating the one allowed error of each chunk gives 64 keys of three symbols, and every
 such pair shares a key. At a similarity of 0.75 a signature differs in 16 symbols on average with a deviation of
-3.5, so a linked pair is beyond the radius about once in 200,000 times. A second signature of 256 minima of 8 bits
-then has to differ in at most FINE_RADIUS = 96 symbols (at 0.75: 64 on average, deviation 7, so as rarely beyond).
+3.5, so a pair at that limit is beyond the radius with a chance of 1.5e-5. A second signature of 256 minima of 8 bits
+then has to differ in at most FINE_RADIUS = 96 symbols (at 0.75: 64 on average, deviation 7, so beyond with a chance of 2.9e-6).
 Every pair inside both is confirmed on whole sets, unless its ends are linked already.
 
 Equal sets are one node from the start. Keys that only one node has are found without a row for each (see exchange).
@@ -64,7 +64,11 @@ def set_hash(value: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+SKETCH = "doc_id long, h long, n_shingles long, node long, sig binary, fine binary"
+
+
 def sketch(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, h) as SKETCH."""
     for t in tables:
         data, offs = buffer(t["text"])
         for i, j in steps(offs):
@@ -72,7 +76,7 @@ def sketch(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.diff(first)
             sig, fine = signatures(value, first)
             node = pa.array(set_hash(value, first).view(np.int64), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([t["doc_id"][i:j], pa.array(n, pa.int64()), node, binary(sig.reshape(-1), np.arange(j - i + 1) * SYMBOLS), binary(fine.reshape(-1), np.arange(j - i + 1) * FINE)], ["doc_id", "n_shingles", "node", "sig", "fine"])
+            yield pa.RecordBatch.from_arrays([t["doc_id"][i:j], t["h"][i:j], pa.array(n, pa.int64()), node, binary(sig.reshape(-1), np.arange(j - i + 1) * SYMBOLS), binary(fine.reshape(-1), np.arange(j - i + 1) * FINE)], ["doc_id", "h", "n_shingles", "node", "sig", "fine"])
 
 
 def symbols(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -227,11 +231,16 @@ def in_pairs(rows: DataFrame, group: str) -> DataFrame:
     return pair.drop("own", "other", "nb").withColumn("spread", F.xxhash64(group, "i", "j"))
 
 
+def texts_of(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """need (with rep and rep_h) and the text of the row with that id and hash: ids that are null or repeat give no other rows."""
+    one = (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("h") == F.col("rep_h"))
+    return docs.join(need.hint("shuffle_hash"), one)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of nodes that are linked, by the whole texts of one document of each node."""
-    doc = nodes.select(F.col("node"), F.col("rep"))
-    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(doc, "node")
-    texts = docs.select("doc_id", "text").join(need.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep", "rep_h"), "node")
+    texts = texts_of(docs, need).select("node", "text")
     rows = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -249,9 +258,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.select("doc_id", "text")
-    drawn = table(docs.mapInArrow(sketch, "doc_id long, n_shingles long, node long, sig binary, fine binary"), "sketch")
-    nodes = table(drawn.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("fine").alias("fine")), "nodes")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    drawn = table(docs.mapInArrow(sketch, SKETCH), "sketch")
+    chosen = F.min_by(F.struct(F.col("doc_id").alias("rep"), F.col("h").alias("rep_h")), F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("rep")
+    nodes = table(drawn.where("node is not null").groupBy("node").agg(chosen, F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("fine").alias("fine")).select("node", "rep.rep", "rep.rep_h", "n_shingles", "sig", "fine"), "nodes")
     n = nodes.count()
     dealt = deal(nodes.select("node", "sig"), "node", max(1, -(-n // BUCKET)))
     reply = shared_keys(dealt, bucket_keys, max(1, -(-n * SYMBOLS // (1 << 20))))
@@ -279,11 +289,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     if found.limit(1).count():
         # round 3
         kin = components(found).select("node", F.col("comp").alias("family")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        kin = table(kin.join(nodes.select("node", "rep", "n_shingles"), "node"), "kin")
+        kin = table(kin.join(nodes.select("node", "rep", "rep_h", "n_shingles"), "node"), "kin")
         nb = F.ceil(F.greatest(F.count("*") / (BLOCK // 2), F.sum("n_shingles") / SHINGLES)).alias("nb")
         kin = table(kin.join(kin.groupBy("family").agg(nb), "family"), "kin")
         size = kin.agg(F.sum(F.col("n_shingles") * F.col("nb"))).first()[0]
-        rows = docs.join(kin.drop("n_shingles").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("family", "node", "comp", "nb", "text")
+        rows = texts_of(docs, kin.drop("n_shingles")).select("family", "node", "comp", "nb", "text")
         more = in_pairs(rows, "family").groupBy(F.pmod("spread", F.lit(max(1, -(-size // SHINGLES)))).alias("task")).applyInArrow(links_within(percent), "a long, b long")
         comps = components(links.union(table(more, "links")))
 

@@ -21,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from corvane.llm.words import _EXACT, buffer, mix, powers, steps
+from corvane.llm.words import buffer, hashes, mix, steps
 from corvane.session import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SHIFT, UNSCALED, SEED = 1.0, 20.0, 32, 0
 #: Bytes of text whose lattices are built at once. Larger steps share hardly more segments and cost more memory and time.
-LATTICES = 1 << 16
+LATTICES, SLICE = 1 << 16, 4 << 20
 U = np.uint64
 
 
@@ -190,11 +190,7 @@ def sample(v: Vocabulary, data: np.ndarray, offs: np.ndarray, keys: np.ndarray,
         return np.zeros(0, np.int32), np.zeros(len(offs), np.int64)
     start = segments(v, data, offs)
     end = np.append(start[1:], n)
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_EXACT[data] * up[:n], out=sums[1:])
-    hashed = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
-    _, first, same = np.unique(hashed, return_index=True, return_inverse=True)
+    _, first, same = np.unique(hashes(data, start, end), return_index=True, return_inverse=True)
     size = (end - start)[first]
     uoffs = np.append(0, np.cumsum(size))
     into, summed, source, piece = lattice(v, data[ragged(start[first], size)], uoffs)
@@ -229,13 +225,13 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
     """docs: doc_id, text. Returns per row: doc_id, n_pieces, ids, lossless (whether the ids decode to the text's bytes).
 
     Null text has null ids and no pieces; empty text has none. Rows of one id share their draws, so equal rows are cut alike.
-    A session whose batches are too large for its executors can bound them first (session.bound_batches).
+    Batches are worked and handed back in slices of at most SLICE bytes of text (or one row).
     """
     ship(docs.sparkSession)
     v = load(path)
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in tables:
+        for t in (b.slice(i, j - i) for b in tables for i, j in steps(buffer(b["text"])[1], SLICE)):
             data, offs = buffer(t["text"])
             keys = t["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             parts, counts, lossless = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]

@@ -1,8 +1,8 @@
 """WARC archives: records compressed one by one with a dictionary that the archive itself carries.
 
 An archive file starts with a skippable frame (magic 0x184D2A5D) that holds a Zstandard dictionary trained from some of
-the file's own records. Each record follows as a frame of its own, so any record can be read alone. The first
-record with a payload (by largest page_id) is a response, others with the same payload are revisits that name it.
+the file's own records. Each record follows as a frame of its own, so any record can be read alone. Of records with equal
+payloads, known by SHA-256, that with the largest page_id is a response; others are revisits that name it.
 
 Files go to the folder that driver and executors share, under names of their own for each attempt. Only files that a
 committed manifest lists are read, so an attempt that is lost leaves nothing in the result.
@@ -11,6 +11,7 @@ committed manifest lists are read, so an attempt that is lost leaves nothing in
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ SKIPPABLE, FRAME = b"\x5d\x2a\x4d\x18", b"\x28\xb5\x2f\xfd"
 FILE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES, LEVEL = 24 << 20, 48 << 10, 2 << 20, 3
 #: Bytes of a record that are learnt from at most, and of one piece of it where records are few.
 LEARN_BYTES, PIECE_BYTES = 64 << 10, 4 << 10
+#: A payload that more than 1/HOT of all repeated pages share is joined without a shuffle by payload.
+HOT = 1000
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 MANIFEST = "path string, records long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
@@ -55,19 +58,18 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, ki
 
 
 def dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """Trained from the starts of records spread over the file; none if there are too few bytes to learn from."""
+    """Trained from the starts of records spread over the file; their plain bytes where they are too few or too alike to train from."""
     total, step = sum(min(len(r), LEARN_BYTES) for r in records), 1
     while total / step > SAMPLE_BYTES and step < len(records):
         step += 1
     some = [r[:LEARN_BYTES] for r in records[::step]]  # only what the dictionary learns from; records are written whole
     if len(some) < 16:  # few but large records are learnt from in pieces
         some = [r[i : i + PIECE_BYTES] for r in some for i in range(0, len(r), PIECE_BYTES)]
-    if len(some) < 16:
-        return None
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, some)) // 8)), some, k=512, d=8)
-    except zstandard.ZstdError:
-        return None
+    if len(some) >= 16:
+        with contextlib.suppress(zstandard.ZstdError):  # raised where samples are too alike
+            return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, some)) // 8)), some, k=512, d=8)
+    raw = b"".join(some)[:DICTIONARY_BYTES]
+    return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(raw) >= 8 else None
 
 
 def archive(records: list[bytes]) -> bytes:
@@ -148,11 +150,20 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
     """
     ship(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")
-    keyed = pages.withColumn("hex", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
+    keyed = pages.withColumn("hex", F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256))
     last = keyed.groupBy("hex").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1")
-    rows = keyed.join(last.select("hex", "last"), "hex", "left")
+    last = table(last, "payloads")
+    total = last.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") * HOT > total
+    hot = last.where(often).select("hex", F.struct("last").alias("hot"))  # fewer than HOT rows
+    # pages of a payload that many pages have are spread by their own ids and urls, so no task gets them all
+    spread = F.when(F.col("hot").isNull(), F.col("hex")).otherwise(F.concat_ws(":", "hex", F.col("page_id").cast("string"), "url"))
+    rows = keyed.join(F.broadcast(hot), "hex", "left").withColumn("key", spread)
+    cold = last.where(~often).select(F.col("hex").alias("key"), F.struct("last").alias("cold"))
+    rows = rows.join(cold, "key", "left").withColumn("found", F.coalesce("hot", "cold"))
+    rows = rows.withColumns({"last": F.col("found.last"), "shared": F.col("found").isNotNull()})
     big = F.coalesce(F.octet_length("html"), F.lit(0)) >= min_bytes
-    rows = rows.select("page_id", "url", "html", "last", (big & F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))).alias("revisit"))
+    rows = rows.select("page_id", "url", "html", "last", (big & F.col("shared") & ~F.col("page_id").eqNullSafe(F.col("last"))).alias("revisit"))
     return table(rows.mapInArrow(write_files(folder), MANIFEST), "manifest")
 
 

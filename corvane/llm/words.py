@@ -1,11 +1,13 @@
 """Words of whole texts as hash arrays, without a Python object for each word.
 
-A batch of UTF-8 texts is one byte buffer. Words are runs of bytes outside 0x20 and 0x09-0x0D. A word's hash is a
-polynomial over random 64-bit byte values, got from prefix sums, so the cost is a few vector operations a byte.
+A batch of UTF-8 texts is one byte buffer. Words are runs of bytes outside 0x20 and 0x09-0x0D. A word's hash takes in eight
+bytes at a step and mixes all bits after each, so no pattern of repeated bytes cancels out; the cost is a few vector
+operations a word.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -19,13 +21,12 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 PLAIN = np.ones(256, bool)
 for _low, _high in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
     PLAIN[_low:_high] = False
-_rng = np.random.default_rng(20240229)
-_EXACT = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
-_FOLDED = _EXACT.copy()
-_FOLDED[0x41:0x5B] = _EXACT[0x61:0x7B]
-_BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 2**64)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+#: The bits of a block of eight bytes that belong to a word with so many bytes left.
+_HELD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Words of more bytes than this are hashed one by one.
+LONG = 256
 #: Bytes of text that are hashed at once: the work arrays then stay within some tens of megabytes.
 STEP = 1 << 20
 
@@ -46,14 +47,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]), STEP + 1)
-        for k, base in enumerate((_BASE, _UNBASE)):
-            a = np.full(size, base, np.uint64)
-            a[0] = 1
-            _powers[k] = np.multiply.accumulate(a)
-    return _powers[0][:n], _powers[1][:n]
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes. Stretches of more than LONG bytes go through BLAKE2, as their steps would be too many."""
+    size = end - start
+    h = mix(size.astype(np.uint64) + U(0x51ED270B9F36A1C5))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    block = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    at, k = np.flatnonzero((size > 0) & (size <= LONG)), 0
+    while len(at):
+        left = size[at] - k
+        h[at] = mix(h[at] ^ (block[start[at] + k] & _HELD[np.minimum(left, 8)]))
+        at, k = at[left > 8], k + 8
+    for i in np.flatnonzero(size > LONG):
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,13 +105,7 @@ def words(data: np.ndarray, offs: np.ndarray, fold: bool = False, space: np.ndar
     last = offs[1:][np.diff(offs) > 0] - 1
     stop[last] = solid[last]
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    up, down = powers(n + 1)
-    value = (_FOLDED if fold else _EXACT)[data]
-    value *= up[:n]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(value, out=total[1:])
-    h = (total[end] - total[start]) * down[start]
-    return Words(mix(h + (end - start).astype(np.uint64)), start, end, np.searchsorted(start, offs))
+    return Words(hashes(_LOWER[data] if fold else data, start, end), start, end, np.searchsorted(start, offs))
 
 
 def runs(h: np.ndarray, k: int) -> np.ndarray:
