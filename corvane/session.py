@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
 import tempfile
 import uuid
 import zipfile
@@ -49,17 +48,12 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(at))
 
 
-def bound_batches(spark: SparkSession, size: str = "4m") -> None:
-    """Python workers get batches of at most this many bytes, not of 10,000 rows of any length, unless the session was told another bound."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not spark.sparkContext.getConf().contains(key):
-        spark.conf.set(key, size)
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Set to a local one only where the session names none, as in tests."""
+    """The folder that driver and executors share. A local one is made only on a local master, as in tests; elsewhere ValueError if none is set."""
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not at and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not at:
         at = "file://" + tempfile.mkdtemp(prefix="corvane-shared-")
         sc.setCheckpointDir(at)
@@ -73,6 +67,3 @@ def table(df: DataFrame, tag: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
-
-def cores(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism, os.cpu_count() or 1)
