@@ -29,7 +29,7 @@ _FOLD[0x80:] = np.arange(0x80, 0x100)
 RANGES = (
     (0x00, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0xAB, 0), (0xC0, 1), (0x2B0, 0), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (0x700, 7), (0x780, 8), (0x7C0, 9),
     (0x900, 10), (0x980, 11), (0xA00, 12), (0xA80, 13), (0xB00, 14), (0xB80, 15), (0xC00, 16), (0xC80, 17), (0xD00, 18), (0xD80, 19), (0xE00, 20), (0xE80, 21), (0xF00, 22), (0x1000, 23), (0x10A0, 24),
-    (0x1100, 25), (0x1200, 26), (0x13A0, 27), (0x1780, 28), (0x1800, 29), (0x18B0, 9), (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x2C00, 9), (0x3040, 30), (0x30A0, 31), (0x3100, 9), (0x3400, 32),
+    (0x1100, 25), (0x1200, 26), (0x13A0, 27), (0x1780, 28), (0x1800, 29), (0x18B0, 9), (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x2C00, 9), (0x3000, 0), (0x3040, 30), (0x30A0, 31), (0x3100, 9), (0x3400, 32),
     (0xA000, 9), (0xAC00, 25), (0xD7B0, 9), (0xF900, 32), (0xFB00, 1), (0xFB13, 4), (0xFB1D, 5), (0xFB50, 6), (0xFE00, 0), (0xFE70, 6), (0xFF00, 0), (0xFF21, 1), (0xFF3B, 0), (0xFF41, 1), (0xFF5B, 0),
     (0xFF66, 31), (0xFFA0, 25), (0xFFE0, 0), (0x10000, 9), (0x1F000, 0), (0x20000, 32), (0xE0000, 0),
 )

@@ -74,4 +74,4 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     from corvane.llm import sql
 
-    return {"op1_warc": sql.ARCHIVE, "op2_near_duplicates": sql.NEAR, "op9_repeats": sql.REPEATS}
+    return {"op1_warc": sql.ARCHIVE, "op2_near_duplicates": sql.NEAR, "op9_repeats": sql.REPEATS, "op10_url_filter": sql.URLS}

@@ -1,7 +1,9 @@
-"""DuckDB SQL of the corpus queries that SQL can express: op1, op2 and op9. The others train a model, draw or search."""
+"""DuckDB SQL of the corpus queries that SQL can express: op1, op2, op9 and op10. The others train a larger model, draw or search."""
 
 from __future__ import annotations
 
+from corvane.llm import urls
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE32 = UPPER + "234567"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -30,3 +32,55 @@ gone as (select distinct doc_id, unnest(range(i, i + 20)) pos from again),
 o as (select doc_id, unnest(range(1, len(w) + 1)) pos, unnest(w) word from w),
 k as (select doc_id, string_agg(word, ' ' order by pos) kept, count(*) n from o anti join gone using (doc_id, pos) group by 1)
 select doc_id, len(w)::bigint n_words, (len(w) - coalesce(n, 0))::bigint n_removed, sha256(coalesce(kept, '')) kept_sha256 from w left join k using (doc_id)"""
+
+
+def _cut(rows: str) -> str:
+    """Columns host and path of a table with url."""
+    rest = "case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end"
+    return f"select *, translate(regexp_extract(coalesce({rest}, ''), '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') host, regexp_extract(coalesce({rest}, ''), '^[^/?#]*([^?#]*)', 1) path from {rows}"
+
+
+def _grams(rows: str) -> str:
+    """Distinct (row, i) of a table with row, host and path."""
+    cut = [f"list_transform(range(1, greatest(0, length({c}) + 2 - {n} + 1) + 1), lambda j: '{c[0]}' || substr('^' || {c} || '$', j, {n}))" for c in ("host", "path") for n in urls.GRAMS]
+    return f"select distinct row, ('0x' || md5(x)[1:4])::int % {urls.DIM} i from (select row, unnest(flatten([{', '.join(cut)}])) x from {rows})"
+
+
+def _rules() -> str:
+    out = {"name": "null", "verdict": "null"}
+    for h, p, v in sorted(urls.RULES, key=lambda r: (len(r[0]) + len(r[1]), r)):
+        for k, x in (("name", h + p), ("verdict", v)):
+            out[k] = f"case when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{x}' else {out[k]} end"
+    return f'{out["name"]} as "rule", {out["verdict"]} ruled'
+
+
+def _filter() -> str:
+    """The rules, the training of the model step by step, and its scores."""
+    n, wide = len(urls.labelled_rows()), urls.DIM
+    parts = [
+        f"l(url, y, row) as (values {', '.join(f"('{u}', {y}, {k})" for k, (u, y) in enumerate(urls.labelled_rows()))})",
+        f"t as ({_cut('l')})",
+        f"g as materialized ({_grams('t')})",
+        "z as materialized (select row, any_value(y) y, sqrt(greatest(count(i), 1)) k from l left join g using (row) group by row)",
+        f"w0 as (select unnest(range({wide + 1})) i, 0.0::double w, 0.0::double v)",
+    ]
+    for k in range(urls.STEPS):
+        parts += [
+            f"m{k} as materialized (select row, any_value(z.k) k, 1 / (1 + exp(-(sum(coalesce(w, 0)) / any_value(z.k) + (select w from w{k} where i = {wide})))) - any_value(y) m from z left join g using (row) left join w{k} using (i) group by row)",
+            f"s{k} as (select i, sum(m / k) s from g join m{k} using (row) group by i union all select {wide}, sum(m) from m{k})",
+            f"v{k} as (select i, w, {urls.KEEP} * v - {urls.RATE} * (coalesce(s, 0) / {n}.0 + {urls.DECAY} * w) v from w{k} left join s{k} using (i))",
+            f"w{k + 1} as materialized (select i, round(w + v, 9) w, v from v{k})",
+        ]
+    last = f"w{urls.STEPS}"
+    parts += [
+        f"p as materialized ({_cut('(select page_id, url, row_number() over () row from pages)')})",
+        f"q as ({_grams('p')})",
+        f"c as (select row, round(1 / (1 + exp(-(sum({last}.w) / sqrt(greatest(count(*), 1)) + (select w from {last} where i = {wide})))), 6) score from q join {last} using (i) group by row)",
+        f"o as (select row, round(1 / (1 + exp(-w)), 6) score from p, {last} where i = {wide})",
+        f"r as (select row, page_id, host, path, {_rules()} from p)",
+    ]
+    return "with " + ",\n".join(parts) + """
+select page_id, host, path, "rule", coalesce(ruled, case when coalesce(c.score, o.score) >= 0.5 then 'block' else 'allow' end) verdict, coalesce(c.score, o.score) score from r left join c using (row) left join o using (row)"""
+
+
+URLS = _filter()
