@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DIM, GRAMS, STEPS, RATE, DECAY, KEEP = 4096, (3, 4), 24, 8.0, 1e-4, 0.8
+DIM, GRAMS, STEPS, RATE, DECAY, KEEP = 4096, (3, 4), 32, 20.0, 1e-4, 0.9
 
 #: The rules of the query: host, path, verdict.
 RULES = [
