@@ -50,21 +50,3 @@ def uuid5(namespace: str, key: Column) -> Column:
     variant = F.lower(F.hex(F.conv(F.substring(h, 17, 2), 16, 10).cast("bigint").bitwiseAND(63).bitwiseOR(128)))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 19, 2)), F.substring(h, 21, 12))
 
-
-def doi_candidates(x: Column) -> Column:
-    """A raw DOI with dashes repaired, its forms without trailing punctuation and without brackets; those that look like DOIs."""
-    dash = F.regexp_replace(F.trim(x), "[‐-―]", "-")
-    forms = F.array(dash, F.regexp_replace(dash, r"[.,;:]+$", ""), F.regexp_replace(dash, r"[)\]}]+$", ""))
-    return F.array_distinct(F.filter(forms, lambda d: d.rlike(r"^10\.[0-9]{4,9}/\S+$")))
-
-
-def problems(x: Column) -> Column:
-    """What is wrong with an identifier, as a list of names."""
-    count = lambda c: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))
-    found = [
-        F.when(x.rlike(r"[^\x00-\x7F]"), "non_ascii"),
-        F.when(x.rlike(r"^[.,;:]"), "leading_punctuation"),
-        F.when(x.rlike(r"[.,;:]$"), "trailing_punctuation"),
-        F.when(count("(") != count(")"), "unbalanced_brackets"),
-    ]
-    return F.filter(F.array(*found), lambda p: p.isNotNull())

@@ -264,12 +264,12 @@ def nearest_ancestor(spark, sf_dir):
 
 
 # ---- clusters ----
-_CLUSTER_SQL = "with recursive r as (select c_custkey id, 'a' || (c_custkey // 3) a, case when c_custkey % 7 < 2 then 'b' || (c_custkey // 14) end b from customer where c_custkey < 600), e as (select x.id i, y.id j from r x join r y on x.a = y.a or x.b = y.b), t as (select id, id as c from r union select t.id, e.j from t join e on e.i = t.c), m as (select id, min(c) cluster_id from t group by id) "
+_CLUSTER_SQL = "with recursive r as (select c_custkey id, 'a' || (c_custkey // 3) a, case when c_custkey % 7 < 2 then 'b' || (c_custkey // 14) end b from customer), e as (select x.id i, y.id j from r x join r y on x.a = y.a or x.b = y.b), t as (select id, id as c from r union select t.id, e.j from t join e on e.i = t.c), m as (select id, min(c) cluster_id from t group by id) "
 
 
 def _cluster_rows(spark, sf_dir):
     c = F.col("c_custkey")
-    return read(spark, sf_dir, "customer").where("c_custkey < 600").select(c.alias("id"), F.concat(F.lit("a"), F.floor(c / 3).cast("string")).alias("a"), F.when(c % 7 < 2, F.concat(F.lit("b"), F.floor(c / 14).cast("string"))).alias("b"), "c_name", "c_mktsegment", "c_acctbal")
+    return read(spark, sf_dir, "customer").select(c.alias("id"), F.concat(F.lit("a"), F.floor(c / 3).cast("string")).alias("a"), F.when(c % 7 < 2, F.concat(F.lit("b"), F.floor(c / 14).cast("string"))).alias("b"), "c_name", "c_mktsegment", "c_acctbal")
 
 
 @query("connected_components", _CLUSTER_SQL + "select id, cluster_id from m")
@@ -437,11 +437,6 @@ def uuid5_keys(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", ids.uuid5("6ba7b811-9dad-11d1-80b4-00c04fd430c8", F.concat(F.lit("PMID:"), F.col("o_orderkey"))).alias("pid"))
 
 
-@query("link_problems", "select page_id, array_to_string(list_filter([case when regexp_matches(url, '[^\\x00-\\x7F]') then 'non_ascii' end, case when regexp_matches(url, '^[.,;:]') then 'leading_punctuation' end, case when regexp_matches(url, '[.,;:]$') then 'trailing_punctuation' end, case when length(replace(url, '(', '')) <> length(replace(url, ')', '')) then 'unbalanced_brackets' end], lambda x: x is not null), ' ') problems, trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-')[1:60] slug from pages")
-def link_problems(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", F.array_join(ids.problems(F.col("url")), " ").alias("problems"), text.slugify(F.col("url")).alias("slug"))
-
-
 @query("year_parse", "select o_orderkey, year(o_orderdate)::int as \"year\" from orders")
 def year_parse(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", text.year(F.concat(F.year("o_orderdate"), F.lit(".0"))).alias("year"))
@@ -476,12 +471,6 @@ def nested_document(spark, sf_dir):
     return docs.select("o_orderkey", "customer.name", F.size("items").cast("long").alias("n_items"), F.round(F.aggregate("items", F.lit(0.0), lambda a, x: a + x["l_extendedprice"]), 2).alias("total"), F.array_max(F.transform("items", lambda x: x["l_shipdate"])).alias("last_ship"))
 
 
-@query("link_assemble_caps", "with l as (select distinct l_orderkey % 50 doc, l_returnflag resource, lower('P' || l_partkey) id from lineitem), n as (select *, count(*) over (partition by doc, resource) n, row_number() over (partition by doc, resource order by id) r from l), p as (select *, sum(case when r <= 20 then 1 else 0 end) over (partition by doc order by n desc, resource, id rows unbounded preceding) place from n) select doc, count(*) link_count, count(*) filter (where r <= 20 and place <= 50) stored, count(distinct resource) resources, count(*) filter (where r <= 20 and place <= 50) < count(*) truncated from p group by doc")
-def link_assemble_caps(spark, sf_dir):
-    links = read(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 50).alias("doc"), F.col("l_returnflag").alias("resource"), F.concat(F.lit("P"), F.col("l_partkey")).alias("link_id"))
-    return documents.assemble_links(links, "doc", 20, 50)
-
-
 @query("conflict_fold", "with e as (select user_id doc_id, arg_max(case when event_type = 'purchase' then 1 when event_type = 'error' then 0 end, (ts, event_id)) filter (where event_type in ('purchase', 'error')) d from events group by user_id) select l.doc_id, case when d is null then quality::varchar when d = quality then quality::varchar else 'conflict' end label from labels l left join e using (doc_id)")
 def conflict_fold(spark, sf_dir):
     e = read(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.when(F.col("event_type") == "purchase", 1).when(F.col("event_type") == "error", 0).alias("d"), "ts", "event_id")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from corvane.functions import ids, links
 from corvane.operators import audits, joins, queues
 from corvane.plans.catalog import query
 from corvane.session import read
@@ -171,35 +170,7 @@ def history_append(spark, sf_dir):
     return doc.select("user_id", F.size("history").cast("long").alias("superseded"), "last_event")
 
 
-# ---- identifiers and links ----
-@query("doi_candidates", "select o_orderkey, '10.1000/x' || o_orderkey doi, case when o_orderkey % 2 = 0 then 2 else 1 end::int forms from orders")
-def doi_candidates(spark, sf_dir):
-    k = F.col("o_orderkey")
-    raw = F.concat(F.lit(" 10.1000/x"), k, F.when(k % 2 == 0, ".").otherwise(""))
-    forms = ids.doi_candidates(raw)
-    return read(spark, sf_dir, "orders").select("o_orderkey", F.element_at(F.array_sort(forms), 1).alias("doi"), F.size(forms).alias("forms"))
-
-
-@query("publication_values", "select o_orderkey, case o_orderkey % 4 when 0 then 'pmcid' when 1 then 'doi' when 2 then 'pmid' end kind, case o_orderkey % 4 when 0 then 'PMC' || o_orderkey when 1 then '10.1000/x' || o_orderkey when 2 then o_orderkey::varchar end as \"value\" from orders")
-def publication_values(spark, sf_dir):
-    k = F.col("o_orderkey")
-    i = k % 4
-    raw = F.when(i == 0, F.concat(F.lit("see pmc"), k)).when(i == 1, F.concat(F.lit("https://doi.org/10.1000/X"), k)).when(i == 2, F.concat(F.lit("PMID: "), k)).otherwise("unpublished")
-    return read(spark, sf_dir, "orders").select("o_orderkey", links.publication(raw)["kind"].alias("kind"), links.publication(raw)["value"].alias("value"))
-
-
-@query("url_hosts", "select host, count(*) n from (select regexp_extract(lower(url), '^[a-z]+://(www[.])?([^/?#:]+)', 2) host from pages) where host <> '' group by 1")
-def url_hosts(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select(links.host(F.col("url")).alias("host")).where("host <> ''").groupBy("host").agg(F.count("*").alias("n"))
-
-
-@query("link_ids_cleaned", "select l_orderkey, l_linenumber, 'ABC' || l_partkey id from lineitem")
-def link_ids_cleaned(spark, sf_dir):
-    k = F.col("l_partkey")
-    raw = F.when(k % 3 == 0, F.concat(F.lit("(ABC"), k, F.lit("."))).when(k % 3 == 1, F.concat(F.lit('"ABC'), k, F.lit('";'))).otherwise(F.concat(F.lit("ABC"), k, F.lit("), and more")))
-    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", links.cleaned(raw).alias("id"))
-
-
+# ---- records ----
 @query("freshness", "select event_id, ts < timestamp '2024-01-15' stale from events where event_type = 'error'")
 def freshness(spark, sf_dir):
     return read(spark, sf_dir, "events").where("event_type = 'error'").select("event_id", (F.col("ts").cast("timestamp_ntz") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")).alias("stale"))
