@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column
@@ -214,7 +215,7 @@ def scheme_of(uri: Column) -> Column:
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(v) for p in table.items() for v in p]), key)
+    return F.try_element_at(F.from_json(F.lit(json.dumps(table)), "map<string, string>"), key)
 
 
 def slug(scheme: Column, publisher: Column, doi: Column, aliases: dict[str, str] | None = None, owners: dict[str, str] | None = None) -> Column:

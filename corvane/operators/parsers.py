@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,34 +21,6 @@ def classification(raw: Column, labels: tuple[str, ...] = LABELS) -> Column:
     return F.coalesce(F.when(label.isin(*labels), label), word, F.lit("parse_error"))
 
 
-def clean_tags(values: list[str], vocabulary: dict[str, str], cap: int) -> tuple[list[str], list[str]]:
-    """Tags by their canonical spelling, without repeats and beyond-cap ones, and what was done to each that changed."""
-    kept, log = [], []
-    for v in values or []:
-        c = vocabulary.get(v.strip().lower())
-        if c is None:
-            log.append(f"unknown:{v}")
-        elif c in kept:
-            log.append(f"repeat:{v}")
-        elif len(kept) >= cap:
-            log.append(f"cap:{v}")
-        else:
-            kept.append(c)
-            if c != v:
-                log.append(f"case:{v}")
-    return kept, log
-
-
-def cleaned_tags(rows: DataFrame, column: str, vocabulary: dict[str, str], cap: int) -> DataFrame:
-    """Order matters here, so it is one Arrow function over lists."""
-
-    @F.pandas_udf("struct<tags: array<string>, changes: array<string>>")
-    def run(x: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([clean_tags(list(v) if v is not None else [], vocabulary, cap) for v in x], columns=["tags", "changes"])
-
-    return rows.withColumn("_t", run(F.col(column))).select(*rows.columns, F.col("_t.tags").alias("tags"), F.col("_t.changes").alias("changes"))
-
-
 def model_calls(rows: DataFrame, key: str, text: str, client: Callable[[str], str]) -> DataFrame:
     """One call a row by an injected client; a call that fails gives an error row instead of ending the job."""
 

@@ -457,12 +457,6 @@ def answer_parser(spark, sf_dir):
     return e.select("event_id", parsers.classification(raw).alias("label"))
 
 
-@query("tag_cleaning")
-def tag_cleaning(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("doc_id", F.array("lang", F.upper("lang"), "source", F.lit("EN")).alias("raw"))
-    return parsers.cleaned_tags(d, "raw", {"en": "en", "fr": "fr", "src1": "Source 1", "src2": "Source 2"}, 2).select("doc_id", F.array_join("tags", "|").alias("tags"), F.array_join("changes", "|").alias("changes"))
-
-
 # ---- documents and updates ----
 @query("nested_document", "select o_orderkey, c_name as name, count(*) n_items, round(sum(l_extendedprice), 2) total, max(l_shipdate) last_ship from orders join customer on o_custkey = c_custkey join lineitem on l_orderkey = o_orderkey group by o_orderkey, c_name")
 def nested_document(spark, sf_dir):
