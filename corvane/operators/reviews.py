@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.operators.latest import latest_values
+from corvane.operators.sampling import draw
 
 
 def second_review(rows: DataFrame, events: DataFrame, key: str, order: list[str], columns: list[str], prefix: str = "second_") -> DataFrame:
@@ -31,11 +32,6 @@ def term_status(candidates: DataFrame, events: DataFrame, term: str, decision: s
     return j.withColumn("review_status", F.when(F.col("list").isNotNull(), "decided").otherwise("pending"))
 
 
-def draw(key: str, seed: int) -> Column:
-    """A drawing order that any engine with MD5 can repeat."""
-    return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-
-
 def blind_sample(rows: DataFrame, key: str, label: str, sizes: dict, seed: int = 0) -> DataFrame:
     """So many rows of each label, in drawing order; ValueError if a label has fewer. Each draw is a distributed top-k."""
     have = {r[0]: r[1] for r in rows.where(F.col(label).isin(*sizes)).groupBy(label).count().collect()}  # a row for each label asked for

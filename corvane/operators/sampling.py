@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def draw(key: str, seed: int) -> Column:
+    """A drawing order that any engine with MD5 can repeat."""
+    return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+
+
 def quantile_bands(rows: DataFrame, score: str, bands: int = 4, name: str = "band") -> DataFrame:
     """Right-closed bands between distinct interpolated quantiles, from 0; equal scores never part."""
     cuts = rows.agg(F.percentile(score, F.array(*[F.lit(i / bands) for i in range(1, bands)]))).first()[0] or []
@@ -22,7 +27,7 @@ def top_or_other(rows: DataFrame, column: str, n: int, name: str) -> DataFrame:
 
 def capped_sample(rows: DataFrame, strata: list[str], cap: int, key: str, seed: int = 0) -> DataFrame:
     """At most cap rows of each stratum. Each partition keeps its own best first, so a huge stratum doesn't move."""
-    rows = rows.withColumn("_h", F.xxhash64(key, F.lit(seed)))
+    rows = rows.withColumn("_h", draw(key, seed))
     w = Window.partitionBy(*strata).orderBy("_h", key)
     return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap).drop("_h", "_r")
 
@@ -32,7 +37,7 @@ def strata_report(rows: DataFrame, strata: list[str], cap: int) -> DataFrame:
 
 
 def shuffled(rows: DataFrame, key: str, seed: int = 0) -> DataFrame:
-    return rows.orderBy(F.xxhash64(key, F.lit(seed)), key)
+    return rows.orderBy(draw(key, seed), key)
 
 
 def cohort_cap(size: int, strata: int) -> int:

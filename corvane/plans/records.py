@@ -354,12 +354,6 @@ def strata_report(spark, sf_dir):
     return sampling.strata_report(d, ["grp", "band"], 15)
 
 
-@query("stratified_sample")
-def stratified_sample(spark, sf_dir):
-    d = sampling.top_or_other(read(spark, sf_dir, "documents"), "source", 5, "grp").select("doc_id", "grp", "lang")
-    return sampling.capped_sample(d, ["grp", "lang"], 15, "doc_id")
-
-
 @query("tag_count_buckets", f"select least(len(t), 30) // 10 as bucket, count(*) n from (select {_TOKENS_SQL} t from documents) group by 1")
 def tag_count_buckets(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select(F.size(text.tokens(F.col("text"))).alias("k"))
