@@ -36,9 +36,10 @@ def check_update(updates: DataFrame, key: str, allowed: set[str]) -> None:
 
 
 def apply_update(target: DataFrame, updates: DataFrame, key: str, allowed: set[str]) -> DataFrame:
-    """target with the updates' values and a flag changed, null-safe. Keys that target lacks change nothing."""
+    """target with the updates' values and a flag changed, null-safe. Keys that target lacks change nothing; of a key that updates repeats the smallest row counts."""
     check_update(updates, key, allowed)
     columns = [c for c in updates.columns if c != key]
+    updates = updates.groupBy(key).agg(F.min(F.struct(*columns)).alias("_r")).select(key, "_r.*")  # a repeated key sets once
     j = target.join(updates.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_{c}") for c in columns]), key, "left")
     hit = F.coalesce("_hit", F.lit(False))
     changed = F.lit(False)

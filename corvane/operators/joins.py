@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a table of terms that are matched as substrings, at most.
+MOST_TERMS = 20_000
+
+
 def flat_lookup(build: DataFrame, keys: list[str], payload: list[str], order: str) -> DataFrame:
     """One namespace of values from several key columns; of a repeated value the first key column and row wins."""
     pairs = [build.select(F.col(k).cast("string").alias("value"), F.lit(i).alias("turn"), F.col(order).alias("at"), F.struct(*payload).alias("p")) for i, k in enumerate(keys)]
@@ -47,7 +52,7 @@ def any_key_semi(rows: DataFrame, known: DataFrame, row_id: str, keys: list[str]
 
 def fill_blank(rows: DataFrame, patch: DataFrame, key: str, columns: list[str], blank) -> DataFrame:
     """Blank cells are filled from the patch, others stay."""
-    side = patch.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
+    side = one_row_each(patch.select(key, *columns), key).select(key, *[F.col(c).alias(f"_{c}") for c in columns])
     out = rows.join(side, key, "left")
     return out.select(*[F.when(blank(F.col(c)), F.coalesce(f"_{c}", c)).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in rows.columns])
 
@@ -66,10 +71,20 @@ def diff(old: DataFrame, new: DataFrame, key: list[str], column: str) -> DataFra
     return j.withColumn("state", state)
 
 
-def substrings(text: Column, terms: list[str]) -> Column:
-    """Those terms that the text holds anywhere, whole words or not; null text holds none."""
+def containing(rows: DataFrame, text: str, terms: DataFrame, term: str, key: str) -> DataFrame:
+    """(key, term) for the terms of a table that are substrings of a text. The table is sent to all executors if it has at most MOST_TERMS rows, else ValueError: a larger one needs an index."""
+    listed = [r[0] for r in terms.select(F.lower(F.trim(term))).where(F.trim(term) != "").distinct().orderBy(F.lower(F.trim(term))).limit(MOST_TERMS + 1).collect()]
+    if len(listed) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
     low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(low.contains(t), t) for t in terms]))
+    hits = F.filter(F.from_json(F.lit(json.dumps(listed)), "array<string>"), lambda t: low.contains(t))
+    return rows.select(key, F.explode(hits).alias(term))
+
+
+def one_row_each(patch: DataFrame, key: str) -> DataFrame:
+    """patch with one row for each key, so that it can't multiply what it is joined to."""
+    rest = [c for c in patch.columns if c != key]
+    return patch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*")
 
 
 def known_holder(new: DataFrame, known: DataFrame, value: str, known_value: str, holder: str) -> DataFrame:

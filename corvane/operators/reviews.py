@@ -18,8 +18,8 @@ def second_review(rows: DataFrame, events: DataFrame, key: str, order: list[str]
 
 
 def resolved(rows: DataFrame, resolutions: DataFrame, key: str, label: str, new: str) -> DataFrame:
-    """Labels overridden by resolutions (one for a key; null decides nothing), and whether that changed them."""
-    j = rows.join(resolutions.select(key, F.col(new).alias("_new")), key, "left")
+    """Labels overridden by resolutions (null decides nothing; of several for a key the smallest counts), and whether that changed them."""
+    j = rows.join(resolutions.groupBy(key).agg(F.min(new).alias("_new")), key, "left")
     changed = F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(F.col(label))
     return j.withColumn("overridden", changed).withColumn(label, F.coalesce("_new", label)).drop("_new")
 

@@ -170,12 +170,6 @@ def _markup_sql(x: str) -> str:
     return f"trim({x})"
 
 
-@query("strip_formatting", f"select conv_id, turn, md5({_markup_sql('text')}) digest from conversations where text is not null")
-def strip_formatting(spark, sf_dir):
-    c = read(spark, sf_dir, "conversations").where("text is not null")
-    return c.select("conv_id", "turn", F.md5(text.strip_formatting(F.col("text"))).alias("digest"))
-
-
 @query("prompt_digest", "select doc_id, md5('Title: ' || coalesce(source, '') || chr(10) || 'Language: ' || coalesce(lang, '') || chr(10) || coalesce(text, '')) digest from documents")
 def prompt_digest(spark, sf_dir):
     prompt = text.rendered("Title: {source}\nLanguage: {lang}\n{text}", source=F.col("source"), lang=F.col("lang"), text=F.col("text"))

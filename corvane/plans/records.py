@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvane.functions import ids, text
 from corvane.operators import clusters, documents, evaluation, joins, latest, parsers, sampling
 from corvane.plans.catalog import query
-from corvane.session import read
+from corvane.session import read, table
 from corvane.streaming.log import recent_rate
 
 # ---- lexicon of the scoring queries ----
@@ -43,7 +43,7 @@ c as (select score, sum(p) over w tp, sum(q) over w fp, (select sum(p) from g) n
 t as (select score threshold from c order by round(tp * 1.0 / np - fp * 1.0 / nq, 12) desc, score desc limit 1)
 select source, count(*) n, count(*) filter (where score >= threshold) predicted, count(*) filter (where score >= threshold and quality = 1) tp, round(avg(score), 6) mean_score from s, t group by source""")
 def relevance_flagship(spark, sf_dir):
-    rows = _labelled(spark, sf_dir)
+    rows = table(_labelled(spark, sf_dir), "scored")  # read for the threshold and again for the counts
     t = evaluation.auroc_youden(rows, "score", "quality").select("threshold")
     up = F.col("score") >= F.col("threshold")
     j = rows.crossJoin(F.broadcast(t))  # one row
@@ -108,16 +108,6 @@ def score_label_correlation(spark, sf_dir):
     return _labelled(spark, sf_dir).agg(F.round(F.corr("score", F.col("quality").cast("double")), 6).alias("r"), F.round(F.avg("score"), 6).alias("mean"))
 
 
-@query("quantile_precision", _LABELLED_SQL + """, t as (select unnest([0.5, 0.75, 0.9]) quantile, unnest(quantile_cont(score, [0.5, 0.75, 0.9])) cut from s)
-select quantile, round(cut, 6) cut, count(*) filter (where score >= cut) n, round(avg(case when score >= cut then quality end), 6) "precision" from s, t group by quantile, cut""")
-def quantile_precision(spark, sf_dir):
-    rows = _labelled(spark, sf_dir)
-    cuts = rows.agg(F.percentile("score", F.array(F.lit(0.5), F.lit(0.75), F.lit(0.9))).alias("c")).select(F.posexplode("c").alias("i", "cut"))
-    cuts = cuts.select(F.element_at(F.array(F.lit(0.5), F.lit(0.75), F.lit(0.9)), F.col("i") + 1).alias("quantile"), "cut")
-    up = F.col("score") >= F.col("cut")
-    return rows.crossJoin(F.broadcast(cuts)).groupBy("quantile", "cut").agg(F.count_if(up).alias("n"), F.round(F.avg(F.when(up, F.col("quality"))), 6).alias("precision")).select("quantile", F.round("cut", 6).alias("cut"), "n", "precision")  # three rows
-
-
 # ---- logs ----
 @query("latest_row_per_key", "select user_id, arg_max(event_id, (ts, event_id)) event_id, arg_max(event_type, (ts, event_id)) event_type from events group by user_id")
 def latest_row_per_key(spark, sf_dir):
@@ -257,12 +247,6 @@ def range_bucket(spark, sf_dir):
     return n.groupBy(b.alias("bucket")).agg(F.count("*").alias("sources"), F.sum("count").alias("docs"))
 
 
-@query("nearest_ancestor", "with recursive t as (select n_nationkey::bigint node, n_nationkey::bigint up, 0 depth from nation union all select node, up // 5, depth + 1 from t where up >= 5) select node, min(up) ancestor, max(depth)::bigint depth from t group by node")
-def nearest_ancestor(spark, sf_dir):
-    read(spark, sf_dir, "nation").createOrReplaceTempView("corvane_nation")
-    return spark.sql("with recursive t as (select cast(n_nationkey as bigint) node, cast(n_nationkey as bigint) up, 0 depth from corvane_nation union all select node, up div 5, depth + 1 from t where up >= 5) select node, min(up) ancestor, cast(max(depth) as bigint) depth from t group by node")
-
-
 # ---- clusters ----
 _CLUSTER_SQL = "with recursive r as (select c_custkey id, 'a' || (c_custkey // 3) a, case when c_custkey % 7 < 2 then 'b' || (c_custkey // 14) end b from customer), e as (select x.id i, y.id j from r x join r y on x.a = y.a or x.b = y.b), t as (select id, id as c from r union select t.id, e.j from t join e on e.i = t.c), m as (select id, min(c) cluster_id from t group by id) "
 
@@ -354,12 +338,6 @@ def strata_report(spark, sf_dir):
     return sampling.strata_report(d, ["grp", "band"], 15)
 
 
-@query("tag_count_buckets", f"select least(len(t), 30) // 10 as bucket, count(*) n from (select {_TOKENS_SQL} t from documents) group by 1")
-def tag_count_buckets(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select(F.size(text.tokens(F.col("text"))).alias("k"))
-    return d.groupBy(F.floor(F.least("k", F.lit(30)) / 10).alias("bucket")).agg(F.count("*").alias("n"))
-
-
 @query("value_frequencies", f"select term, count(*) n from (select unnest({_TOKENS_SQL}) term from documents) group by term order by n desc, term limit 25")
 def value_frequencies(spark, sf_dir):
     t = read(spark, sf_dir, "documents").select(F.explode(text.tokens(F.col("text"))).alias("term"))
@@ -371,26 +349,11 @@ def prefix_frequencies(spark, sf_dir):
     return read(spark, sf_dir, "orders").groupBy(F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).alias("prefix")).agg(F.count("*").alias("n"))
 
 
-@query("threshold_sweep", "with t as (select unnest([0, 500, 1000, 2000, 5000]) t) select t::bigint threshold, count(*) filter (where n_chars >= t) remaining from documents, t group by t")
-def threshold_sweep(spark, sf_dir):
-    steps = [0, 500, 1000, 2000, 5000]
-    one = read(spark, sf_dir, "documents").agg(*[F.count_if(F.col("n_chars") >= t).alias(str(t)) for t in steps])
-    return one.select(F.explode(F.create_map(*[x for t in steps for x in (F.lit(t).cast("long"), F.col(f"`{t}`"))])).alias("threshold", "remaining"))
-
-
 @query("completeness_report", "select count(*) n, count(*) filter (where text is null or trim(text) = '') blank_text, count(*) filter (where lang is null) no_lang, count(*) filter (where source = 'src0' and n_chars > 100) large_src0 from documents")
 def completeness_report(spark, sf_dir):
     return read(spark, sf_dir, "documents").agg(F.count("*").alias("n"), F.count_if(ids.blank(F.col("text"))).alias("blank_text"), F.count_if(F.col("lang").isNull()).alias("no_lang"), F.count_if((F.col("source") == "src0") & (F.col("n_chars") > 100)).alias("large_src0"))
 
 
-@query("regex_evidence", "with p as (select unnest(['email', 'phone', 'url']) as name, unnest(['[a-z0-9.]+@[a-z0-9.]+', '[(][0-9]{3}[)] [0-9]{3}-[0-9]{4}', 'https?://']) rx) select name, count(*) n, min(doc_id) first_id from documents, p where regexp_matches(text, rx) group by name")
-def regex_evidence(spark, sf_dir):
-    rules = {"email": "[a-z0-9.]+@[a-z0-9.]+", "phone": "[(][0-9]{3}[)] [0-9]{3}-[0-9]{4}", "url": "https?://"}
-    d = read(spark, sf_dir, "documents")
-    hits = d.select("doc_id", F.explode(F.filter(F.array(*[F.when(F.col("text").rlike(rx), n) for n, rx in rules.items()]), lambda x: x.isNotNull())).alias("name"))
-    return hits.groupBy("name").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
-
-
 @query("set_jaccard", f"with t as (select doc_id, list_distinct({_TOKENS_SQL}) t from documents) select a.doc_id, round(case when len(a.t) + len(b.t) = 0 then 1.0 else len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) end, 6) jaccard from t a join t b on b.doc_id = a.doc_id + 1")
 def set_jaccard(spark, sf_dir):
     t = read(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("t"))
@@ -413,11 +376,6 @@ def html_to_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_replace(text.strip_tags(F.col("html")), "[ \t\n]+", " ")).alias("plain"))
 
 
-@query("html_unescaped_titles")
-def html_unescaped_titles(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", text.unescape(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
-
-
 @query("identifier_keys", "with k as (select o_orderkey, case when o_orderkey % 3 = 0 then 'PMC' || o_orderkey end pmcid, case when o_orderkey % 2 = 0 then '10.1000/x' || o_orderkey end doi, o_orderkey::varchar pmid from orders) select o_orderkey, coalesce('PMCID:' || pmcid, 'DOI:' || doi, 'PMID:' || pmid) \"key\", sha1(coalesce('PMCID:' || pmcid, 'DOI:' || doi, 'PMID:' || pmid)) record_id from k")
 def identifier_keys(spark, sf_dir):
     k = F.col("o_orderkey")
@@ -426,11 +384,6 @@ def identifier_keys(spark, sf_dir):
     return raw.select("o_orderkey", key.alias("key"), ids.record_id(key).alias("record_id"))
 
 
-@query("uuid5_keys")
-def uuid5_keys(spark, sf_dir):
-    return read(spark, sf_dir, "orders").select("o_orderkey", ids.uuid5("6ba7b811-9dad-11d1-80b4-00c04fd430c8", F.concat(F.lit("PMID:"), F.col("o_orderkey"))).alias("pid"))
-
-
 @query("year_parse", "select o_orderkey, year(o_orderdate)::int as \"year\" from orders")
 def year_parse(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", text.year(F.concat(F.year("o_orderdate"), F.lit(".0"))).alias("year"))
@@ -526,7 +479,3 @@ def cosine_topk(spark, sf_dir):
     return s.withColumn("rank", rank).where("rank <= 3").select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
 
 
-@query("shard_sizes", "select o_orderkey % 2 kind, count(*) n from orders group by 1")
-def shard_sizes(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").withColumn("shard", text.shard_of(F.col("o_orderkey").cast("string"), 8))
-    return o.groupBy((F.col("o_orderkey") % 2).alias("kind"), "shard").count().groupBy("kind").agg(F.sum("count").alias("n"))

@@ -44,12 +44,6 @@ def cross_tier_buckets(spark, sf_dir):
     return audits.tier_buckets(o, "quality", "other", "third")
 
 
-@query("substring_theta_match", "with t as (select unnest(['tion', 'ing', 'ment', 'zzz']) term) select term, count(*) n, min(doc_id) first_id from documents join t on contains(lower(text), term) group by term")
-def substring_theta_match(spark, sf_dir):
-    hits = read(spark, sf_dir, "documents").select("doc_id", F.explode(joins.substrings(F.col("text"), ["tion", "ing", "ment", "zzz"])).alias("term"))
-    return hits.groupBy("term").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
-
-
 @query("known_identifier_split", "select p_partkey, s_suppkey holder, s_suppkey is null is_new from part left join (select lower(s_name) k, min(s_suppkey) s_suppkey from supplier group by 1) on k = lower('Supplier#' || lpad(p_partkey::varchar, 9, '0'))")
 def known_identifier_split(spark, sf_dir):
     new = read(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("SUPPLIER#"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("name"))
