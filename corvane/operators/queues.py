@@ -33,3 +33,19 @@ def numbered(rows: DataFrame, column: str, prefix: str, order: list[str]) -> Dat
     """Fills missing ids of a small table with the prefix and the row's place among those without one."""
     place = F.row_number().over(Window.partitionBy(F.col(column).isNull()).orderBy(*order))
     return rows.withColumn(column, F.coalesce(F.col(column), F.concat(F.lit(prefix), place)))
+
+
+def lexicon(first: DataFrame, second: DataFrame, seed: DataFrame) -> DataFrame:
+    """Candidate terms of two extractions and a seed vocabulary, each with the '+'-joined names of those that have it."""
+    from functools import reduce
+
+    parts = [d.select("term").where("term is not null").distinct().withColumn("_n", F.lit(i)) for i, d in enumerate((first, second, seed))]
+    g = reduce(DataFrame.union, parts).groupBy("term").agg(F.collect_set("_n").alias("_s"))
+    names = ("tfidf", "phrases", "seed")
+    return g.select("term", F.concat_ws("+", *[F.when(F.array_contains("_s", i), n) for i, n in enumerate(names)]).alias("source"))
+
+
+def seeded(terms: DataFrame, seeds: DataFrame, term: str) -> DataFrame:
+    """terms and those seed terms, lower-cased and trimmed, that it lacks."""
+    new = seeds.select(F.lower(F.trim(term)).alias(term)).where(F.col(term) != "").distinct().join(terms.select(term), term, "left_anti")
+    return terms.unionByName(new.withColumn("source", F.lit("seed")).select(*terms.columns))

@@ -17,7 +17,7 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict:
-    from corvane.plans import curation, linkage, loading, populations, records, reports, scans, tagging  # noqa: F401  they register their queries
+    from corvane.plans import curation, linkage, loading, measures, populations, records, reports, scans, tagging  # noqa: F401  they register their queries
 
     return dict(_found)
 

@@ -463,19 +463,3 @@ def set_intersection(spark, sf_dir):
 @query("covered_years", "select unnest(range(1990, 2005))::int as \"year\" except select year(o_orderdate)::int from orders")
 def covered_years(spark, sf_dir):
     return spark.range(1990, 2005, 1, 1).select(F.col("id").cast("int").alias("year")).subtract(read(spark, sf_dir, "orders").select(F.year("o_orderdate")))
-
-
-@query("cosine_topk", "with q as (select vec_id query_id, embedding::double[] q from embeddings where vec_id % 100 = 0), s as (select query_id, vec_id, list_dot_product(q, embedding::double[]) / (sqrt(list_dot_product(q, q)) * sqrt(list_dot_product(embedding::double[], embedding::double[]))) score from q, embeddings where vec_id <> query_id), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from s) select query_id, rank::int rank, vec_id, round(score, 6) score from r where rank <= 3")
-def cosine_topk(spark, sf_dir):
-    """Key-phrase style similarity: a stated set of query rows against all rows."""
-    from pyspark.sql import Window
-
-    e = read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    e = e.withColumn("n", F.sqrt(dot(F.col("v"), F.col("v"))))
-    q = e.where("vec_id % 100 = 0").toDF("query_id", "q", "m")
-    s = e.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", (dot(F.col("q"), F.col("v")) / (F.col("m") * F.col("n"))).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return s.withColumn("rank", rank).where("rank <= 3").select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
-
-
