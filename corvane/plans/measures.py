@@ -196,7 +196,7 @@ def cost_projection(spark, sf_dir):
     return audits.projection(read(spark, sf_dir, "events").where("event_type = 'view'"), "value", 1000, 0.002)
 
 
-@query("round_rollup", "with g as (select event_type, (ts::date) as d, case when event_id % 2 = 0 then 'm1' else 'm2' end m, count(*) n, min(ts) lo, max(ts) hi from events group by all) select event_type, sum(n)::bigint n, count(distinct d) "days", array_to_string(list_sort(list(distinct m)), '+') models, sum(n) filter (where m = 'm1')::bigint n_m1 from g group by 1")
+@query("round_rollup", "with g as (select event_type, (ts::date) as d, case when event_id % 2 = 0 then 'm1' else 'm2' end m, count(*) n, min(ts) lo, max(ts) hi from events group by all) select event_type, sum(n)::bigint n, count(distinct d) as days, array_to_string(list_sort(list(distinct m)), '+') models, sum(n) filter (where m = 'm1')::bigint n_m1 from g group by 1")
 def round_rollup(spark, sf_dir):
     e = read(spark, sf_dir, "events").withColumns({"d": F.to_date("ts"), "m": F.when(F.col("event_id") % 2 == 0, "m1").otherwise("m2")})
     g = e.groupBy("event_type", "d", "m").agg(F.count("*").alias("n"))
