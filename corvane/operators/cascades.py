@@ -61,11 +61,11 @@ def complete_ids(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFram
 
 def fill(rows: DataFrame, patch: DataFrame, key: Column, columns: list[str], empties: tuple[str, ...] = (), only: Column | None = None) -> DataFrame:
     """Blank cells (also those of empties that are '[]') filled from patch (value and columns) by a key; only says in which rows."""
-    one = one_of_each(patch.select("value", *columns), "value").select(F.col("value").alias("_v"), *[F.col(c).alias(f"_{c}") for c in columns])
-    out = rows.join(one, key == F.col("_v"), "left")
+    one = one_of_each(patch.select("value", *columns), "value").select(F.col("value").alias("_patch key"), *[F.col(c).alias(f"_patch {c}") for c in columns])
+    out = rows.join(one, key == F.col("`_patch key`"), "left")
     lacks = lambda c: blank(F.col(c)) | (F.trim(F.col(c)) == "[]") if c in empties else blank(F.col(c))
     may = F.coalesce(only, F.lit(False)) if only is not None else F.lit(True)
-    return out.select(*[F.when(may & lacks(c), F.coalesce(f"_{c}", c)).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in rows.columns])
+    return out.select(*[F.when(may & lacks(c), F.coalesce(f"`_patch {c}`", c)).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in rows.columns])
 
 
 def fill_cascade(rows: DataFrame, row_id: str, patch: DataFrame, keys: list[str], columns: list[str], empties: tuple[str, ...] = ()) -> DataFrame:

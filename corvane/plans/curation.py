@@ -164,12 +164,6 @@ def excluded_kinds(spark, sf_dir):
     return e.select("user_id", F.array_join(F.array_sort(text.members(F.col("kinds"), ["Error", "Purchase"])), ";").alias("hits"))
 
 
-def _markup_sql(x: str) -> str:
-    for pattern, to in text.MARKUP:
-        x = f"regexp_replace({x}, '{pattern}', '{to.replace('$1', chr(92) + '1')}', 'g')"
-    return f"trim({x})"
-
-
 @query("prompt_digest", "select doc_id, md5('Title: ' || coalesce(source, '') || chr(10) || 'Language: ' || coalesce(lang, '') || chr(10) || coalesce(text, '')) digest from documents")
 def prompt_digest(spark, sf_dir):
     prompt = text.rendered("Title: {source}\nLanguage: {lang}\n{text}", source=F.col("source"), lang=F.col("lang"), text=F.col("text"))

@@ -49,6 +49,6 @@ def test_diversified_takes_nulls_as_a_stratum(spark):
 def test_text_functions(spark):
     row = spark.createDataFrame([("# Head\n> see [the **label**](http://x.y) `code`-like\n- item", None)], "a string, b string")
     got = row.select(text.strip_formatting(F.col("a")), text.strip_formatting(F.col("b")), text.rendered("{a}|{b}", a=F.lit("x"), b=F.col("b")), text.in_batch(F.col("b"), ["x"], []), text.members(F.lit(None).cast("array<string>"), ["x"])).first()
-    assert tuple(got) == ("Head see the label code like item", None, "x|", False, [])
+    assert tuple(got) == ("Head\nsee the label code like\n  item", "", "x|", False, [])  # markup goes, white space stays
     with pytest.raises(ValueError, match="neither"):
         text.in_batch(F.col("a"), [], [])
