@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by learned partitions.
 
-On a bounded sample (at most SAMPLE vectors, by a hash of vec_id) a neighbour graph is built and cut into balanced parts that
-keep neighbours together. A small classifier then learns from a vector which parts its neighbours lie in. Every vector is
+On a bounded sample (EACH vectors a part, by a hash of vec_id) a neighbour graph is built and cut into balanced parts that
+keep neighbours together. There are PARTS parts, and more for tables of more than PARTS blocks, MOST at most. A small classifier then learns from a vector which parts its neighbours lie in. Every vector is
 indexed in its most probable part, a query goes to its several most probable parts, and all vectors there are ranked by
 their exact cosine in double precision. How many parts is measured: a quarter of the sample is kept out of the learning,
-and the fewest parts that find TARGET of its neighbours are taken (vectors without structure need most parts). Parts are searched in blocks of bounded size, so a part with a third of all
-vectors is many tasks; each hands on its best few.
+and the fewest parts that find TARGET of its neighbours are taken (vectors without structure need most parts). Parts are searched in
+blocks of bounded size, and so are the queries that a part is asked: a part with a third of all vectors is many tasks, each hands
+on its best few, and only rows of a part with more than a block of queries are sent more than once.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.session import ship, table
 
-SAMPLE, NEIGHBOURS, HIDDEN, ROUNDS, PARTS, TARGET, BLOCK = 4096, 12, 96, 160, 32, 0.955, 16384
+EACH, NEIGHBOURS, HIDDEN, ROUNDS, PARTS, MOST, TARGET, BLOCK = 128, 12, 96, 160, 32, 256, 0.955, 16384
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dtype=np.float64) -> np.ndarray:
@@ -33,12 +34,14 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
-    out = np.zeros((len(x), k), np.int64)
-    for i in range(0, len(x), 512):
-        s = x[i : i + 512] @ x.T
-        s[np.arange(len(s)), np.arange(i, i + len(s))] = -2
-        out[i : i + 512] = np.argpartition(-s, k - 1, 1)[:, :k]
+def closest(x: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """The k nearest other rows of x to each of these rows, some rows at a time."""
+    out, step = np.zeros((len(rows), k), np.int64), max(1, (1 << 21) // max(1, len(x)))
+    for i in range(0, len(rows), step):
+        some = rows[i : i + step]
+        s = x[some] @ x.T
+        s[np.arange(len(some)), some] = -2
+        out[i : i + step] = np.argpartition(-s, k - 1, 1)[:, :k]
     return out
 
 
@@ -93,7 +96,7 @@ class Router:
         self.net = [rng.normal(0, 1 / np.sqrt(d), (d, HIDDEN)), np.zeros(HIDDEN), np.zeros((HIDDEN, parts)), np.zeros(parts)]
         if parts == 1:
             return
-        graph = neighbour_graph(x, k)
+        graph = closest(x, np.arange(len(x)), k)
         label = balanced(x, graph, parts)
         goal = np.zeros((len(x), parts))
         np.add.at(goal, (np.arange(len(x)), label), k / 2)
@@ -112,9 +115,7 @@ class Router:
         """The fewest parts in which the vectors numbered fresh find target of their k nearest among x."""
         if self.parts == 1 or not len(fresh):
             return self.parts
-        s = x[fresh] @ x.T
-        s[np.arange(len(fresh)), fresh] = -2
-        near = np.argpartition(-s, min(k, len(x) - 1) - 1, 1)[:, :k]
+        near = closest(x, fresh, min(k, len(x) - 1))
         order = self.ranked(x, self.parts)
         where = np.argsort(order[fresh], 1)  # at which probe a part's turn comes
         turn = np.take_along_axis(where, order[near, 0], 1).reshape(-1)
@@ -132,17 +133,22 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def best(query_id: np.ndarray, q: np.ndarray, vec_id: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """Each query's k nearest of these vectors by exact cosine, ties to the smaller id."""
+    """Each query's k nearest ids of these vectors by exact cosine, ties to the smaller id; of an id's rows the nearest counts."""
+    order = np.argsort(vec_id, kind="stable")
+    vec_id, v = vec_id[order], v[order]
+    first = np.flatnonzero(np.append(True, vec_id[1:] != vec_id[:-1]))
     nq, nv = np.sqrt((q * q).sum(1)), np.sqrt((v * v).sum(1))
     out: tuple[list, list, list] = ([], [], [])
     fast = (v / nv[:, None]).astype(np.float32)
     for i in range(len(q)):
         rough = fast @ (q[i] / nq[i]).astype(np.float32)
         rough[vec_id == query_id[i]] = -np.inf
-        at = np.flatnonzero(rough >= (np.partition(rough, -k)[-k] if len(rough) > k else -2) - 2e-5)
+        peak = np.maximum.reduceat(rough, first) if len(first) < len(rough) else rough
+        at = np.flatnonzero(rough >= (np.partition(peak, -k)[-k] if len(peak) > k else -2) - 2e-5)
         at = at[np.isfinite(rough[at])]
         exact = (v[at] * q[i]).sum(1) / (nv[at] * nq[i])
-        top = np.lexsort((vec_id[at], -exact))[:k]
+        top = np.lexsort((vec_id[at], -exact))
+        top = top[np.sort(np.unique(vec_id[at][top], return_index=True)[1])[:k]]
         out[0].append(np.full(len(top), query_id[i]))
         out[1].append(vec_id[at][top])
         out[2].append(exact[top])
@@ -158,26 +164,47 @@ def usable(vectors: DataFrame) -> DataFrame:
     return good.where(F.size("embedding") == (sizes[0][0] if sizes else 0))
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS, target: float = TARGET) -> DataFrame:
+def parts_of(n: int) -> int:
+    """How many parts n vectors are put into: a block each, but PARTS at least and MOST at most."""
+    return min(MOST, max(PARTS, -(-n // BLOCK)))
+
+
+def by_part(values: np.ndarray) -> Column:
+    """A row's number of these, by its part."""
+    return F.get(F.array(*[F.lit(int(x)) for x in values]), F.col("part"))
+
+
+def counted(rows: DataFrame, parts: int) -> np.ndarray:
+    """How many rows each part has; at most one row a part comes to the driver."""
+    sizes = {r[0]: r[1] for r in rows.groupBy("part").count().collect()}
+    return np.array([sizes.get(p, 0) for p in range(parts)], np.int64)
+
+
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, parts: int | None = None, target: float = TARGET) -> DataFrame:
     """vectors: vec_id, embedding. Queries are rows whose vec_id is divisible by every.
 
-    Returns query_id, rank, vec_id, score. A row that usable() leaves out is neither query nor candidate; rows of one id are
-    one query each and no candidate of one another; repeated queries give their answer once. No vector, or one alone: no row.
+    Returns query_id, rank, vec_id, score. A row that usable() leaves out is neither query nor candidate. Rows of one id are one
+    query, that with the smallest vector, and no candidate of one another; as a candidate an id has the best score of its rows.
+    No vector, or one alone: no row.
     """
     spark = vectors.sparkSession
     ship(spark)
     good = table(usable(vectors), "vectors")
     n = good.count()
+    ids = good.select("vec_id").distinct().count()
+    good = table(good.distinct(), "vectors") if ids < n else good  # one row of an id's equal rows is enough
+    parts = parts or parts_of(n)
+    most = EACH * parts
     chance = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = good.where(chance * n < SAMPLE).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE + SAMPLE // 4).toPandas()
-    x = unit(np.array(sample["embedding"].tolist(), np.float64)) if len(sample) else np.zeros((0, 1))
+    sample = good.where(chance * n < most).orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(most + most // 4).select("embedding").toArrow()
+    x = unit(matrix(sample["embedding"])) if sample.num_rows else np.zeros((0, 1))
     x = x[np.random.default_rng(3).permutation(len(x))]
     fresh = np.arange(len(x) // 4)
     router = Router(x[len(fresh) :], parts)
     probes = router.probes(x, fresh, k, target)
 
-    def place(many: int, held: np.ndarray | None = None):
-        """Each row at its first parts: many, and with held (rows of the parts) as many more as hold k rows of other ids."""
+    def place(many: int, held: np.ndarray | None = None, least: int = 0):
+        """Each row at its first parts: many, and with held (ids of the parts) as many more as hold least ids."""
 
         def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in tables:
@@ -186,7 +213,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS,
                     take = np.ones(r.shape, bool)
                     if held is not None:
                         before = np.cumsum(held[r], 1) - held[r]
-                        take = (np.arange(r.shape[1]) < many) | (before < k + t["own"].to_numpy()[:, None])
+                        take = (np.arange(r.shape[1]) < many) | (before < least)
                     row = pa.array(np.repeat(np.arange(t.num_rows), take.sum(1)))
                     yield pa.RecordBatch.from_arrays([t["vec_id"].take(row), t["embedding"].take(row), pa.array(r[take].astype(np.int32))], ["vec_id", "embedding", "part"])
 
@@ -194,17 +221,15 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS,
 
     schema = "vec_id long, embedding array<double>, part int"
     indexed = table(good.mapInArrow(place(1), schema), "indexed")
-    sizes = {r[0]: r[1] for r in indexed.groupBy("part").count().collect()}  # at most one row a part
-    held = np.array([sizes.get(p, 0) for p in range(router.parts)], np.int64)
-    asked = good.where(F.col("vec_id") % every == 0).withColumn("own", F.count("*").over(Window.partitionBy("vec_id"))).dropDuplicates(["vec_id"]).mapInArrow(place(probes, held), schema)
-    blocks = F.lit(1)
-    for p, x in sizes.items():
-        blocks = F.when(F.col("part") == p, -(-x // BLOCK)).otherwise(blocks)
-    rows = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
-    spread = max(1, -(-n // every // BLOCK))  # queries of a task are bounded as well
-    asked = asked.withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(spread)).cast("int"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))) if spread > 1 else rows.withColumn("slice", F.lit(0))
+    sizes = counted(indexed, router.parts)
+    held = counted(indexed.select("vec_id", "part").distinct(), router.parts) if ids < n else sizes
+    least = k + 1 + int(held.sum()) - ids  # ids that are in several parts count once, and its own doesn't
+    asked = good.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = table(asked.mapInArrow(place(probes, held, least), schema), "asked")
+    blocks, slices = (by_part(np.maximum(1, -(-many // BLOCK))) for many in (sizes, counted(asked, router.parts)))
+    at = F.xxhash64("vec_id", "embedding")
+    asked = asked.withColumn("slice", F.pmod(at, slices).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = indexed.withColumn("block", F.pmod(at, blocks).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
 
     def search(queries: pa.Table, block: pa.Table) -> pa.Table:
         if not (queries.num_rows and block.num_rows):
@@ -214,6 +239,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS,
         return pa.table({"query_id": q, "vec_id": v, "score": s})
 
     keys = ["part", "block", "slice"]
-    found = asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
+    found = asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
