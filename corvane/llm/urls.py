@@ -62,12 +62,18 @@ def path_of(url: Column) -> Column:
 def grams(host: Column, path: Column) -> Column:
     """Places in the weights of the distinct hashed n-grams of host and path, each marked with which of them it is from; in rising order."""
 
-    def cut(kind: str, text: Column, n: int) -> Column:
-        marked = F.concat(F.lit("^"), text, F.lit("$"))
-        starts = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.concat(F.lit(kind), F.substr(marked, i, F.lit(n))))
+    def cut(kind: str, n: int):
+        def run(letters: Column) -> Column:
+            starts = F.when(F.size(letters) >= n, F.sequence(F.lit(0), F.size(letters) - n)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.concat(F.lit(kind), *[F.get(letters, i + k) for k in range(n)]))
 
-    distinct = F.array_distinct(F.flatten(F.array(*[cut(k, text, n) for k, text in (("h", host), ("p", path)) for n in GRAMS])))
+        return run
+
+    def cuts(kind: str, text: Column) -> Column:
+        letters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")  # cut once: a substring would count letters from the start for each n-gram
+        return bound(letters, lambda x: F.flatten(F.array(*[cut(kind, n)(x) for n in GRAMS])))
+
+    distinct = F.array_distinct(F.concat(cuts("h", host), cuts("p", path)))
     return F.array_sort(F.array_distinct(F.transform(distinct, lambda g: F.pmod(F.conv(F.substring(F.md5(g.cast("binary")), 1, 4), 16, 10).cast("int"), F.lit(DIM)))))
 
 
