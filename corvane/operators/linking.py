@@ -93,7 +93,7 @@ def from_datalinks(rows: DataFrame, handles: DataFrame) -> DataFrame:
     return out.withColumns({"obtained_by": F.coalesce("obtained_by", F.lit("ext_links")), "section": none, "frequency": F.lit(None).cast("long")})
 
 
-def from_entries(entries: DataFrame, papers: DataFrame, domains: DataFrame) -> DataFrame:
+def from_entries(entries: DataFrame, papers: DataFrame, domains: DataFrame, apart: str | None = None) -> DataFrame:
     """Links of a dump of database entries to the papers they name.
 
     entries: domain, entry_id, title, page, values (array of publication values); papers: doc, pmid, pmcid, doi; domains: domain,
@@ -106,10 +106,11 @@ def from_entries(entries: DataFrame, papers: DataFrame, domains: DataFrame) -> D
     home = hits.withColumn("home", links.canonical(F.col("resource"), F.col("entry_id")))
     moved = (F.col("home.resource") != F.col("resource")) | (F.col("home.id") != F.trim("entry_id"))
     page = F.when(~moved & (F.size(links.url_problems(F.col("page"))) == 0), F.col("page"))
-    rows = home.select("doc", F.col("home.resource").alias("resource"), F.col("home.id").alias("link_id"), page.alias("page"), "title", "relationship", F.col("key.kind").alias("matched_by"), "domain", "publisher")
+    mark = [F.col(apart).alias("_apart")] if apart else []
+    rows = home.select(*mark, "doc", F.col("home.resource").alias("resource"), F.col("home.id").alias("link_id"), page.alias("page"), "title", "relationship", F.col("key.kind").alias("matched_by"), "domain", "publisher")
     rows = rows.where(links.sound(F.col("link_id"), F.col("resource")))
     strength = F.array_position(F.array(*[F.lit(k) for k in KEY_ORDER]), F.col("matched_by"))
-    best = rows.groupBy("doc", "resource", F.lower("link_id").alias("_low")).agg(F.min_by(F.struct("link_id", "page", "title", "relationship", "matched_by", "domain", "publisher"), F.struct(strength, "domain", "link_id")).alias("r"))
+    best = rows.groupBy(*["_apart"] * len(mark), "doc", "resource", F.lower("link_id").alias("_low")).agg(F.min_by(F.struct("link_id", "page", "title", "relationship", "matched_by", "domain", "publisher"), F.struct(strength, "domain", "link_id")).alias("r"))
     return best.select("doc", "resource", "r.*").withColumn("url", F.coalesce("page", links.entry_url(F.col("resource"), F.col("link_id")))).drop("page").withColumnRenamed("domain", "source_domain")
 
 
