@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 
 import numpy as np
 
@@ -204,3 +205,31 @@ def test_neighbours(spark):
     assert hits >= 0.9 * 5 * 60 and len({r.query_id for r in out}) == 60
     assert [r.vec_id for r in sorted((r for r in out if r.query_id == 50), key=lambda r: r.rank)] == [200, 201, 202, 203, 204]
     assert ann.nearest(df.limit(0)).collect() == [] and ann.nearest(df.limit(1)).collect() == []
+
+
+def test_quality_learns_from_every_label_and_pair(spark):
+    """More documents of a label than a former sample took, against sums over all documents and a list of all pairs."""
+    rng = random.Random(8)
+    text = lambda good: " ".join(rng.choice(["spam", "spam", "#1", "now!"] if rng.random() < (0.2 if good else 0.5) else ["one", "longer", "sentence.", "Here"]) for _ in range(12))
+    rows = [(k, text(k % 40 == 0), int(k % 40 == 0)) for k in range(8600)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    model = quality.fit(table.select("doc_id", "text"), table.select("doc_id", "quality"))
+    used = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    y = np.array([r[2] for r in used])
+    assert (y == 0).sum() > 6000
+    data = [r[1].encode() for r in used]
+    x = quality.features(np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum([len(d) for d in data])))
+    assert np.allclose(model.mean, x.mean(0), atol=1e-5) and np.allclose(model.sd, x.std(0), atol=1e-5)
+    z = np.clip((x - model.mean) / model.sd, -8, 8)
+
+    def plain(w):
+        s = z @ w
+        lead = s[y == 1][:, None] - s[y == 0]
+        wrong = 1 / (1 + np.exp(lead))
+        return np.logaddexp(0, -lead).mean() + quality.DECAY / 2 * w @ w, (wrong.mean(0) @ z[y == 0] / (y == 0).sum() - wrong.mean(1) @ z[y == 1] / (y == 1).sum()) + quality.DECAY * w
+
+    best, slope = plain(model.w)
+    assert np.abs(slope).max() < 1e-3 and all(plain(model.w + d)[0] > best - 1e-6 for d in np.random.default_rng(1).normal(0, 0.02, (20, len(model.w))))
+    s = z @ model.w
+    gain = lambda c: (s[y == 1] >= c).mean() + (s[y == 0] < c).mean()
+    assert gain(model.at) >= max(map(gain, s)) - 0.005
